@@ -1,0 +1,8 @@
+"""Operators on streams.
+
+The reference is a daily batch: every step is a one-shot query over a fixed
+28-day look-back that rewrites its outputs.  It has no stream, watermark,
+window or late-data rule, so no streaming operator is built here.  The one
+state that crosses days (the seed history) is an append-only table written
+idempotently per run date (see ``tallyrec.sources.io.append_seed_log``).
+"""
