@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import feed, hybrid, identity, implicit, interactions, posts, rating, similarity, tfidf
 from ..params import (DEFAULT, FEED_LABEL_IN_HOUSE, GROUP_HOSTED, GROUP_IN_HOUSE, OUTBOUND_POST_TYPE_IN_HOUSE,
                       RunParams)
+from ..session import materialize
 from ..sources import fixtures as fx
 
 
@@ -50,7 +51,7 @@ class DailyRun:
     # --- initial set-up ---------------------------------------------------------------------------
     @cached_property
     def identity_all(self) -> DataFrame:
-        return identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern)
+        return materialize(identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern), "cim_data")
 
     @cached_property
     def eligible(self) -> DataFrame:
@@ -71,7 +72,7 @@ class DailyRun:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return interactions.sample_groups(self.activity_all[0], self.p.sample_users)
+        return materialize(interactions.sample_groups(self.activity_all[0], self.p.sample_users), "rec_group_df")
 
     @cached_property
     def seed_init(self) -> DataFrame:
@@ -82,13 +83,13 @@ class DailyRun:
         """groups_interactions_setup: the cohort's rated pairs with their group."""
         v, c, o = self.activity_all
         rated = interactions.rated_interactions(v, c, o, self.groups, self.seed_init)
-        return interactions.cohort_interactions(rated, self.groups)
+        return materialize(interactions.cohort_interactions(rated, self.groups), "setup")
 
     # --- daily tables -----------------------------------------------------------------------------
     @cached_property
     def identity(self) -> DataFrame:
-        return identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern,
-                                     cohort=self.setup.select("cim_id"))
+        return materialize(identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern,
+                                                 cohort=self.setup.select("cim_id")), "cim_data_daily")
 
     @cached_property
     def activity(self):
@@ -101,7 +102,9 @@ class DailyRun:
     @cached_property
     def interactions(self) -> DataFrame:
         v, c, o = self.activity
-        return interactions.rated_interactions(v, c, o, self.setup.select("cim_id", "rec_group"), self.seed_log)
+        return materialize(
+            interactions.rated_interactions(v, c, o, self.setup.select("cim_id", "rec_group"), self.seed_log),
+            "interactions_daily")
 
     @cached_property
     def expiry(self) -> DataFrame:
@@ -109,7 +112,8 @@ class DailyRun:
 
     @cached_property
     def base(self) -> DataFrame:
-        return posts.post_base(self.posts, self.expiry, self.interactions, self.as_of, self.p.local_tz)
+        return materialize(posts.post_base(self.posts, self.expiry, self.interactions, self.as_of, self.p.local_tz),
+                           "post_meta_02")
 
     @cached_property
     def post_versions(self) -> DataFrame:
@@ -129,7 +133,7 @@ class DailyRun:
 
     @cached_property
     def meta(self) -> DataFrame:
-        return posts.post_meta(self.base, self.permalink, self.content, self.categories)
+        return materialize(posts.post_meta(self.base, self.permalink, self.content, self.categories), "rec_post_meta")
 
     # --- text features ----------------------------------------------------------------------------
     @cached_property
@@ -138,7 +142,7 @@ class DailyRun:
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return tfidf.doc_tokens(self.meta_text, self.spark, self.p.extra_stop_words)
+        return materialize(tfidf.doc_tokens(self.meta_text, self.spark, self.p.extra_stop_words), "tokens")
 
     @cached_property
     def vocab(self) -> DataFrame:
@@ -147,11 +151,11 @@ class DailyRun:
     @cached_property
     def weights(self) -> DataFrame:
         n_docs = self.meta.select(F.count(F.lit(1))).scalar()
-        return tfidf.tfidf(self.tokens, self.vocab, n_docs)
+        return materialize(tfidf.tfidf(self.tokens, self.vocab, n_docs), "tfidf")
 
     @cached_property
     def count_weights(self) -> DataFrame:
-        return tfidf.count_weights(self.tokens, self.vocab)
+        return materialize(tfidf.count_weights(self.tokens, self.vocab), "count_weights")
 
     # --- hybrid recommender -----------------------------------------------------------------------
     @cached_property
@@ -164,7 +168,7 @@ class DailyRun:
 
     @cached_property
     def seeds(self) -> DataFrame:
-        return hybrid.user_seeds(self.house, self.p.seeds_per_user)
+        return materialize(hybrid.user_seeds(self.house, self.p.seeds_per_user), "seeds")
 
     @property
     def seed_bound_rows(self) -> int:
@@ -191,7 +195,7 @@ class DailyRun:
 
     @cached_property
     def recs(self) -> DataFrame:
-        return self._hybrid(lambda df: rating.predict_bias(df, self.bias))
+        return materialize(self._hybrid(lambda df: rating.predict_bias(df, self.bias)), "recs")
 
     def recs_with_factors(self, **als_args) -> DataFrame:
         model = rating.fit_factors(self.rated_all, self.p.lambda_item, self.p.lambda_user, seed=self.p.split_seed,

@@ -17,6 +17,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -47,3 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tallyrec-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = ""):
+    """Cut lineage at a step boundary: a reliable checkpoint in the shared checkpoint folder.
+
+    The original jobs hand persistent tables from step to step; this plays the
+    same role, keeps later plans small, and survives the loss of executors
+    (unlike ``localCheckpoint``).  The output partitioning is preserved, so a
+    later join on the same keys needs no new shuffle.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
