@@ -44,14 +44,30 @@ def user_converted(interactions: DataFrame) -> DataFrame:
 
 
 def similar_posts(seeds: DataFrame, interactions: DataFrame, sim: DataFrame, meta: DataFrame,
-                  k: int = 42) -> DataFrame:
+                  k: int = 42, seeds_bounded: bool = False) -> DataFrame:
     """ML9: (cim_id, post_id, sim_score): unexpired, not the seed, not converted; best seed
-    per post (max); top ``k`` by similarity, ties by post id."""
-    live = meta.filter(F.col("is_expired") == 0).select("post_id")
-    cand = (seeds.select("cim_id", "seed_post_id").join(sim, "seed_post_id")
-            .filter(F.col("post_id") != F.col("seed_post_id"))
-            .join(live, "post_id", "left_semi")
-            .join(converted(interactions), ["cim_id", "post_id"], "left_anti"))
+    per post (max); top ``k`` by similarity, ties by post id.
+
+    Exact early cut: a user's top ``k`` can only come from the first
+    ``k + c`` posts of each seed's list (in the same order), where ``c`` is the
+    largest number of converted posts of any user, since only converted posts
+    are removed per user.  So each seed list is cut to that depth (a partial
+    WindowGroupLimit, before any shuffle) and only then fanned out to users.
+    ``sim`` may carry ``is_expired`` (then it is a filter) or not (then a semi-join).
+    """
+    conv = converted(interactions)
+    s = sim.filter(F.col("is_expired") == 0) if "is_expired" in sim.columns else sim.join(
+        meta.filter(F.col("is_expired") == 0).select("post_id"), "post_id", "left_semi")
+    users = seeds.select("cim_id").distinct()
+    c = (conv.join(users, "cim_id", "left_semi").groupBy("cim_id").agg(F.count(F.lit(1)).alias("n"))
+         .agg(F.max("n")).first()[0] or 0)  # one scalar
+    depth = k + int(c)
+    w_seed = Window.partitionBy("seed_post_id").orderBy(F.desc("sim_score"), F.asc("post_id"))
+    s = s.withColumn("_d", F.row_number().over(w_seed)).filter(F.col("_d") <= depth).drop("_d")
+    su = seeds.select("cim_id", "seed_post_id")
+    su = F.broadcast(su) if seeds_bounded else su
+    cand = (s.select("seed_post_id", "post_id", "sim_score").join(su, "seed_post_id")
+            .join(conv, ["cim_id", "post_id"], "left_anti"))
     best = cand.groupBy("cim_id", "post_id").agg(F.max("sim_score").alias("sim_score"))
     w = Window.partitionBy("cim_id").orderBy(F.desc("sim_score"), F.asc("post_id"))
     return best.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")

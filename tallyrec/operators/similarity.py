@@ -2,33 +2,39 @@
 
 Only seeds sit on the left, so the work is (seeds x posts sharing a term),
 never all pairs of posts.  The seed side is at most
-``distinct seeds x vocabulary`` rows; it is broadcast when that bound is below
-``max_broadcast_rows`` and otherwise joined by shuffling on ``term``.
+``distinct seeds x vocabulary`` rows; with a proven bound below
+``max_broadcast_rows`` it is broadcast (and so is the seed-id list used to
+pick those rows), so the big weights table is read once and never shuffled
+before the pair sums.  Without such a bound both joins fall back to shuffles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def seed_similarity(weights: DataFrame, seeds: DataFrame, candidates: DataFrame | None = None,
+def seed_similarity(weights: DataFrame, seeds: DataFrame, candidate_filter: Column | None = None,
                     seed_bound_rows: int | None = None, max_broadcast_rows: int = 5_000_000,
-                    digits: int = 6) -> DataFrame:
-    """(seed_post_id, post_id, sim_score) for every other post sharing at least one term.
+                    digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(seed_post_id, post_id, sim_score, *keep) for every other post sharing at least one term.
 
-    ``weights``: (post_id, term, weight) with unit rows, so the dot product is the cosine.
-    ``seeds``: frame with ``seed_post_id``.  ``candidates``: optional (post_id) restriction.
-    ``seed_bound_rows``: a proven upper bound of the seed side's rows (e.g. sample size x
-    seeds per user x vocabulary size); without one, no broadcast is forced.
+    ``weights``: (post_id, term, weight, ...) with unit rows, so the dot product is the cosine.
+    ``seeds``: frame with ``seed_post_id``.  ``candidate_filter``: a predicate on ``weights``
+    rows that restricts the candidate side (e.g. ``is_expired = 0``).  ``keep``: candidate
+    columns carried to the output (constant per post).
     """
     sid = seeds.select("seed_post_id").distinct()
+    bounded = seed_bound_rows is not None and seed_bound_rows <= max_broadcast_rows
+    if bounded:
+        sid = F.broadcast(sid)
     left = weights.join(sid, weights.post_id == sid.seed_post_id, "left_semi").select(
         F.col("post_id").alias("seed_post_id"), "term", F.col("weight").alias("ws"))
-    right = weights if candidates is None else weights.join(candidates.select("post_id"), "post_id", "left_semi")
-    right = right.select("post_id", "term", F.col("weight").alias("wo"))
-    if seed_bound_rows is not None and seed_bound_rows <= max_broadcast_rows:
+    right = weights if candidate_filter is None else weights.filter(candidate_filter)
+    right = right.select("post_id", "term", F.col("weight").alias("wo"), *keep)
+    if bounded:
         left = F.broadcast(left)
     pairs = right.join(left, "term").filter(F.col("post_id") != F.col("seed_post_id"))
-    return pairs.groupBy("seed_post_id", "post_id").agg(
-        F.round(F.sum(F.col("ws") * F.col("wo")), digits).alias("sim_score"))
+    aggs = [F.round(F.sum(F.col("ws") * F.col("wo")), digits).alias("sim_score")]
+    aggs += [F.first(c).alias(c) for c in keep]
+    return pairs.groupBy("seed_post_id", "post_id").agg(*aggs)

@@ -129,7 +129,7 @@ def q_vocabulary_top500(s, d):
 
 
 def q_tfidf_weights(s, d):
-    return _r6(_run(s, d).weights, "weight")
+    return _r6(_run(s, d).weights.select("post_id", "term", "tf", "weight"), "weight")
 
 
 def q_count_cosine(s, d):

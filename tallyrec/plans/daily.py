@@ -151,7 +151,9 @@ class DailyRun:
     @cached_property
     def weights(self) -> DataFrame:
         n_docs = self.meta.select(F.count(F.lit(1))).scalar()
-        return materialize(tfidf.tfidf(self.tokens, self.vocab, n_docs), "tfidf")
+        w = tfidf.tfidf(self.tokens, self.vocab, n_docs)
+        # Carry the expiry flag (one value per post) so the candidate side is a filter, not a join.
+        return materialize(w.join(self.meta.select("post_id", "is_expired"), "post_id", "left"), "tfidf")
 
     @cached_property
     def count_weights(self) -> DataFrame:
@@ -175,15 +177,19 @@ class DailyRun:
         # Seeds come from the sample (<= sample_users users) x seeds_per_user, each with <= vocabulary terms.
         return self.p.sample_users * self.p.seeds_per_user * self.p.vocabulary_size
 
+    @property
+    def seeds_bounded(self) -> bool:
+        return self.seed_bound_rows <= self.p.max_broadcast_rows
+
     def similarity(self, weights: DataFrame, live_only: bool = True) -> DataFrame:
-        cands = self.meta.filter(F.col("is_expired") == 0).select("post_id") if live_only else None
-        return similarity.seed_similarity(weights, self.seeds, cands, self.seed_bound_rows,
-                                          self.p.max_broadcast_rows)
+        live = F.col("is_expired") == 0
+        return similarity.seed_similarity(weights, self.seeds, live if live_only else None, self.seed_bound_rows,
+                                          self.p.max_broadcast_rows, keep=("is_expired",) if live_only else ())
 
     @cached_property
     def similar(self) -> DataFrame:
         return hybrid.similar_posts(self.seeds, self.house, self.similarity(self.weights), self.meta,
-                                    self.p.content_candidates)
+                                    self.p.content_candidates, self.seeds_bounded)
 
     @cached_property
     def bias(self) -> rating.BiasModel:
