@@ -245,6 +245,11 @@ def q_outbound_feed(s, d):
     return _run(s, d).outbound
 
 
+def q_hosted_outbound_feed(s, d):
+    """P22-P24 for the hosted group (its recommendations come from ALS: rows-only check)."""
+    return _run(s, d).hosted_outbound
+
+
 def q_csv_round_trip(s, d):
     """Write the outbound feed as one CSV and read it back through the declared schema."""
     from ..schemas import OUTBOUND

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import feed, hybrid, identity, implicit, interactions, posts, rating, similarity, tfidf
-from ..params import (DEFAULT, FEED_LABEL_IN_HOUSE, GROUP_HOSTED, GROUP_IN_HOUSE, OUTBOUND_POST_TYPE_IN_HOUSE,
-                      RunParams)
+from ..params import (DEFAULT, FEED_LABEL_HOSTED, FEED_LABEL_IN_HOUSE, GROUP_HOSTED, GROUP_IN_HOUSE,
+                      OUTBOUND_POST_TYPE_HOSTED, OUTBOUND_POST_TYPE_IN_HOUSE, RunParams)
 from ..session import materialize
 from ..sources import fixtures as fx
 
@@ -244,9 +244,28 @@ class DailyRun:
     def item_export(self) -> DataFrame:
         return implicit.item_export(self.meta, self.interactions, GROUP_HOSTED)
 
+    @cached_property
+    def hosted_recs(self) -> DataFrame:
+        return materialize(implicit.implicit_recs(self.event_export, self.meta, self.p.implicit_weights,
+                                                  self.p.hosted_recs, seed=self.p.split_seed), "hosted_recs")
+
     def implicit_recs(self) -> DataFrame:
-        return implicit.implicit_recs(self.event_export, self.meta, self.p.implicit_weights, self.p.hosted_recs,
-                                      seed=self.p.split_seed)
+        return self.hosted_recs
+
+    @cached_property
+    def hosted_production(self) -> DataFrame:
+        """P22 for the hosted group: any subscriber status counts when finding the newest."""
+        return feed.production_batch(self.hosted_recs, self.subscribers_for(self.hosted_recs, False), self.images,
+                                     self.titles, self.as_of, self.p.local_tz)
+
+    @cached_property
+    def hosted_current_feed(self) -> DataFrame:
+        return feed.current_feed(self.hosted_production, FEED_LABEL_HOSTED)
+
+    @cached_property
+    def hosted_outbound(self) -> DataFrame:
+        return feed.outbound_feed(self.hosted_current_feed, self.alias, OUTBOUND_POST_TYPE_HOSTED, self.p.cdn_marker,
+                                  self.p.cdn_prefix)
 
     def implicit_metrics(self) -> DataFrame:
         return implicit.implicit_metrics(self.event_export, self.meta, self.p.implicit_weights, self.as_of,
@@ -265,7 +284,8 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     run = DailyRun(spark, sf_dir, params)
     paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in
              ("interactions_daily", "rec_post_meta", "daily_rec_staging", "post_prev_rec", "final_feed",
-              "outbound_feed_csv")}
+              "outbound_feed_csv", "interactions_export_csv", "item_export_csv", "hosted_final_feed",
+              "hosted_outbound_feed_csv")}
     io.replace_table(run.interactions, paths["interactions_daily"])
     run.__dict__["interactions"] = spark.read.parquet(paths["interactions_daily"])
     io.replace_table(run.meta, paths["rec_post_meta"])
@@ -275,4 +295,11 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     io.replace_table(run.current_feed, paths["final_feed"])
     io.write_csv(run.outbound.drop("last_used_datetime"), paths["outbound_feed_csv"],
                  order_by=["email", "subscriber_id", "position"])
+    # Hosted-style path: exports (P18), recommendations (P19), feed.
+    io.write_csv(run.event_export.drop("max_date"), paths["interactions_export_csv"],
+                 order_by=["user_id", "item_id"])  # (user, item) is unique: no further tie-break needed
+    io.write_csv(run.item_export, paths["item_export_csv"])
+    io.replace_table(run.hosted_current_feed, paths["hosted_final_feed"])
+    io.write_csv(run.hosted_outbound.drop("last_used_datetime"), paths["hosted_outbound_feed_csv"],
+                 order_by=["email", "subscriber_id", "position"])
     return paths

@@ -67,3 +67,17 @@ def append_batch(df: DataFrame, path: str, partition_col: str = "send_date") ->
 def append_seed_log(seeds: DataFrame, path: str, send_date) -> None:
     """Seed history append (P17): tagged with the run date so a re-run replaces, not repeats."""
     append_batch(seeds.withColumn("send_date", F.lit(str(send_date)[:10])), path, "send_date")
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """SRC1 / SRC2: a catalog table, optionally catalog- or database-qualified (``cat.db.t``)."""
+    return spark.table(name)
+
+
+def read_query(spark: SparkSession, url: str, query: str, **options) -> DataFrame:
+    """SRC3: the result of a query in an external database, as a DataFrame (JDBC).
+
+    Partitioning options (``partitionColumn``, ``lowerBound``, ``upperBound``,
+    ``numPartitions``) spread the read over tasks; credentials come from options.
+    """
+    return spark.read.format("jdbc").option("url", url).option("query", query).options(**options).load()
