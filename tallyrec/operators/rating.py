@@ -141,8 +141,11 @@ def als_grid_search(ratings: DataFrame, max_iters=(5, 10), regs=(0.01, 0.05), fo
                     parallelism: int = 4) -> DataFrame:
     """ML11: k-fold cross-validated RMSE of the residual model for every grid point.
 
-    The reference grid is 8 epoch counts x 2 learning rates x 2 penalties; ALS has
-    no learning rate, so the grid is iterations x regularisation (both parameters).
+    The original searched 8 iteration counts x 2 learning rates x 2 penalties; ALS
+    has no learning rate, so the grid is iterations x regularisation.  The
+    original's sizes are ``params.GRID_ITERATIONS`` x ``params.GRID_PENALTIES``
+    (16 settings, 48 fits); the default here is a 2 x 2 grid to keep a local
+    run short.  ``parallelism`` fits that many settings at once.
     """
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder

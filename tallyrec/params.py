@@ -43,6 +43,14 @@ EXPLORE_THRESHOLD = 0.50
 HOSTED_RECS = 20
 SPLIT_SEED = 14
 TRAIN_FRACTION = 0.85
+# Grid of the rating-model search: iteration counts x penalties (3 folds).
+GRID_ITERATIONS = (15, 20, 25, 30, 35, 40, 45, 50)
+GRID_PENALTIES = (0.01, 0.05)
+GRID_FOLDS = 3
+# Column order of the CSV hand-offs.
+STAGING_COLUMNS = ("post_id", "cim_id", "post_order", "post_title", "permalink", "sim_score", "pred_rating",
+                   "more_explore")
+HOSTED_STAGING_COLUMNS = ("cim_id", "post_id", "permalink", "score", "post_order")
 # -------------------------------------------------------------------------------------------------
 
 

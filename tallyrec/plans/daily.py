@@ -275,31 +275,53 @@ class DailyRun:
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT) -> dict[str, str]:
     """Materialise the day's tables under ``out_dir`` (a shared folder) and return their paths.
 
-    Written tables cut the lineage between steps, as the original's warehouse
-    tables did; the seed history is appended per run date, so a re-run of the
-    same day replaces rather than doubles its rows.
+    The hand-offs follow the original jobs: recommendations leave as a staging
+    CSV and come back through its declared schema; the production batch is
+    appended to a history partitioned by send date (a re-run replaces that
+    day); the current feed is the newest import of that history; the seed
+    history is appended the same way.  Written tables cut the lineage between steps.
     """
+    from ..params import HOSTED_STAGING_COLUMNS, STAGING_COLUMNS
+    from ..schemas import HOSTED_STAGING, STAGING
     from ..sources import io
 
     run = DailyRun(spark, sf_dir, params)
-    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in
-             ("interactions_daily", "rec_post_meta", "daily_rec_staging", "post_prev_rec", "final_feed",
-              "outbound_feed_csv", "interactions_export_csv", "item_export_csv", "hosted_final_feed",
-              "hosted_outbound_feed_csv")}
+    names = ("interactions_daily", "rec_post_meta", "daily_rec_staging_csv", "post_prev_rec", "daily_rec_production",
+             "final_feed", "outbound_feed_csv", "interactions_export_csv", "item_export_csv",
+             "hosted_rec_staging_csv", "hosted_rec_production", "hosted_final_feed", "hosted_outbound_feed_csv")
+    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in names}
     io.replace_table(run.interactions, paths["interactions_daily"])
     run.__dict__["interactions"] = spark.read.parquet(paths["interactions_daily"])
     io.replace_table(run.meta, paths["rec_post_meta"])
     run.__dict__["meta"] = spark.read.parquet(paths["rec_post_meta"])
-    io.replace_table(run.recs, paths["daily_rec_staging"])
+
+    # In-house path: staging CSV -> production history -> current feed -> outbound CSV.
+    io.write_csv(run.recs.select(*STAGING_COLUMNS), paths["daily_rec_staging_csv"], order_by=["cim_id", "post_order"])
+    staging = io.read_csv(spark, paths["daily_rec_staging_csv"], STAGING)
     io.append_seed_log(hybrid.seed_log_rows(run.seeds), paths["post_prev_rec"], run.as_of)
-    io.replace_table(run.current_feed, paths["final_feed"])
-    io.write_csv(run.outbound.drop("last_used_datetime"), paths["outbound_feed_csv"],
-                 order_by=["email", "subscriber_id", "position"])
-    # Hosted-style path: exports (P18), recommendations (P19), feed.
+    batch = feed.production_batch(staging, run.subscribers_for(staging, True), run.images, run.titles, run.as_of,
+                                  params.local_tz)
+    io.append_batch(batch, paths["daily_rec_production"])
+    current = feed.current_feed(spark.read.parquet(paths["daily_rec_production"]), FEED_LABEL_IN_HOUSE)
+    io.replace_table(current, paths["final_feed"])
+    out = feed.outbound_feed(spark.read.parquet(paths["final_feed"]), run.alias, OUTBOUND_POST_TYPE_IN_HOUSE,
+                             params.cdn_marker, params.cdn_prefix)
+    io.write_csv(out.drop("last_used_datetime"), paths["outbound_feed_csv"], order_by=["email", "subscriber_id", "position"])
+
+    # Hosted-style path: exports (P18), recommendations (P19), the same delivery.
     io.write_csv(run.event_export.drop("max_date"), paths["interactions_export_csv"],
                  order_by=["user_id", "item_id"])  # (user, item) is unique: no further tie-break needed
     io.write_csv(run.item_export, paths["item_export_csv"])
-    io.replace_table(run.hosted_current_feed, paths["hosted_final_feed"])
-    io.write_csv(run.hosted_outbound.drop("last_used_datetime"), paths["hosted_outbound_feed_csv"],
+    io.write_csv(run.hosted_recs.select(*HOSTED_STAGING_COLUMNS), paths["hosted_rec_staging_csv"],
+                 order_by=["cim_id", "post_order"])
+    hstaging = io.read_csv(spark, paths["hosted_rec_staging_csv"], HOSTED_STAGING)
+    hbatch = feed.production_batch(hstaging, run.subscribers_for(hstaging, False), run.images, run.titles,
+                                   run.as_of, params.local_tz)
+    io.append_batch(hbatch, paths["hosted_rec_production"])
+    hcurrent = feed.current_feed(spark.read.parquet(paths["hosted_rec_production"]), FEED_LABEL_HOSTED)
+    io.replace_table(hcurrent, paths["hosted_final_feed"])
+    hout = feed.outbound_feed(spark.read.parquet(paths["hosted_final_feed"]), run.alias, OUTBOUND_POST_TYPE_HOSTED,
+                              params.cdn_marker, params.cdn_prefix)
+    io.write_csv(hout.drop("last_used_datetime"), paths["hosted_outbound_feed_csv"],
                  order_by=["email", "subscriber_id", "position"])
     return paths

@@ -16,5 +16,7 @@ def test_run_daily_is_idempotent(spark):
     assert spark.read.parquet(paths["post_prev_rec"]).count() == first > 0
     csv_files = [f for f in os.listdir(paths["outbound_feed_csv"].replace("file:", "")) if f.endswith(".csv")]
     assert len(csv_files) == 1
-    recs = spark.read.parquet(paths["daily_rec_staging"])
-    assert recs.count() > 0 and spark.read.parquet(paths["final_feed"]).count() > 0
+    hist = spark.read.parquet(paths["daily_rec_production"])
+    assert hist.select("send_date").distinct().count() == 1  # the re-run replaced its own day
+    assert spark.read.parquet(paths["final_feed"]).count() > 0
+    assert spark.read.parquet(paths["hosted_final_feed"]).count() > 0
