@@ -30,3 +30,16 @@ def test_seed_side_is_broadcast_and_topk_is_partial(run):
     sp = _plan(similar_posts(run.seeds, run.house, sim, run.meta, 42, True))
     assert "WindowGroupLimit" in sp and "Partial" in sp
     assert "CartesianProduct" not in sp and "BroadcastNestedLoopJoin" not in sp
+
+
+def test_no_cross_products_or_python_in_any_query(spark, run):
+    import __spark_entry__ as E
+
+    from conftest import SMALL
+
+    for name, fn in E.queries().items():
+        if name in ("als_grid_search", "implicit_metrics", "csv_round_trip"):
+            continue  # these compute their result while building (model fits, file write)
+        p = _plan(fn(spark, SMALL))
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert word not in p, (name, word)

@@ -162,3 +162,14 @@ def test_csv_round_trip_keeps_awkward_values(spark):
     io.write_csv(df, path, order_by=["email"])
     back = io.read_csv(spark, path, OUTBOUND)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_lemma_dictionary_maps_tokens_and_stop_words(spark):
+    # ML2 re-aimed: a broadcast (token, lemma) dictionary; stop words are mapped the same way.
+    from tallyrec.operators.tfidf import doc_tokens
+
+    docs = spark.createDataFrame([("p", "deals deal was are src3 home-decor")], "post_id string, soup string")
+    lem = spark.createDataFrame([("deals", "deal"), ("was", "wa")], "token string, lemma string")
+    got = {(r.term, r.tf) for r in doc_tokens(docs, spark, (), lemmas=lem).collect()}
+    # 'was' -> 'wa' is dropped because the stop word 'was' is mapped to 'wa' too; 'are' is a stop word.
+    assert got == {("deal", 2), ("src3", 1), ("homedecor", 1)}
