@@ -89,7 +89,14 @@ class DailyRun:
     @cached_property
     def identity(self) -> DataFrame:
         return materialize(identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern,
-                                                 cohort=self.setup.select("cim_id")), "cim_data_daily")
+                                                 cohort=self.cohort.select("cim_id")), "cim_data_daily")
+
+    @property
+    def cohort(self) -> DataFrame:
+        """Users and groups of the set-up table.  The sample is drawn from users with page views
+        and the set-up rows are view-driven, so its (cim_id, rec_group) pairs are exactly the
+        sample groups; reading those skips the set-up's click and order work."""
+        return self.groups.select("cim_id", "rec_group")
 
     @cached_property
     def activity(self):
@@ -103,7 +110,7 @@ class DailyRun:
     def interactions(self) -> DataFrame:
         v, c, o = self.activity
         return materialize(
-            interactions.rated_interactions(v, c, o, self.setup.select("cim_id", "rec_group"), self.seed_log),
+            interactions.rated_interactions(v, c, o, self.cohort, self.seed_log),
             "interactions_daily")
 
     @cached_property

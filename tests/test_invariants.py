@@ -39,3 +39,9 @@ def test_tier_rule(run):
     bad = run.recs.filter(((F.col("sim_score") > 0.5) & (F.col("more_explore") != 2))
                           | ((F.col("sim_score") <= 0.5) & (F.col("more_explore") != 1)))
     assert bad.count() == 0
+
+
+def test_daily_cohort_equals_setup_groups(run):
+    a = run.setup.select("cim_id", "rec_group").distinct()
+    b = run.cohort
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -8,7 +8,7 @@ from tallyrec.operators.interactions import rated_interactions
 
 def test_seed_rotates_on_day_two(run):
     v, c, o = run.activity
-    groups = run.setup.select("cim_id", "rec_group")
+    groups = run.cohort
     day1 = rated_interactions(v, c, o, groups, run.seed_log)
     seeds1 = user_seeds(day1.filter(F.col("rec_group") == "in_house_test"))
     log2 = run.seed_log.unionByName(seed_log_rows(seeds1))
