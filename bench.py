@@ -3,7 +3,8 @@
 Every timed run starts from the raw parquet tables (a fresh daily run, so no
 step table of an earlier run is reused) and writes the whole result to the
 ``noop`` sink.  One warm-up, then the median of three runs per query.
-Prints one JSON line.
+Prints one JSON line.  ``BENCH_QUERIES=all`` (or a comma list) times every
+registered query instead of the headline set.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
+    if os.environ.get("BENCH_QUERIES") == "all":
+        names = [n for n in __import__("__spark_entry__").queries()]
+    elif os.environ.get("BENCH_QUERIES"):
+        names = os.environ["BENCH_QUERIES"].split(",")
 
     from tallyrec.plans import catalog
     from tallyrec.session import build_session

@@ -160,16 +160,11 @@ def q_bias_ratings(s, d):
 
 
 def q_holdout_split(s, d):
-    r = _run(s, d)
-    return rating.holdout_split(r.rated_all.select("cim_id", "post_id", "post_rating"), DEFAULT.train_fraction,
-                                DEFAULT.split_seed)
+    return _run(s, d).split
 
 
 def q_bias_rmse(s, d):
-    r = _run(s, d)
-    split = rating.holdout_split(r.rated_all.select("cim_id", "post_id", "post_rating"), DEFAULT.train_fraction,
-                                 DEFAULT.split_seed)
-    return rating.bias_rmse(split, DEFAULT.lambda_item, DEFAULT.lambda_user)
+    return rating.bias_rmse(_run(s, d).split, DEFAULT.lambda_item, DEFAULT.lambda_user)
 
 
 def q_hybrid_recs(s, d):

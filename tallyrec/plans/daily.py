@@ -198,6 +198,12 @@ class DailyRun:
         return hybrid.similar_posts(self.seeds, self.house, self.similarity(self.weights), self.meta,
                                     self.p.content_candidates, self.seeds_bounded)
 
+    @cached_property
+    def split(self) -> DataFrame:
+        """ML12: the exact train/test split of all rated pairs (used by fit, score and RMSE)."""
+        return materialize(rating.holdout_split(self.rated_all.select("cim_id", "post_id", "post_rating"),
+                                                self.p.train_fraction, self.p.split_seed), "holdout_split")
+
     @cached_property
     def bias(self) -> rating.BiasModel:
         return rating.fit_bias(self.rated_all, self.p.lambda_item, self.p.lambda_user)
