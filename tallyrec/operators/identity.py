@@ -26,9 +26,9 @@ def identity_map(alias: DataFrame, alias_type: DataFrame, employee_pattern: str,
     ``cohort`` (a frame with ``cim_id``) restricts the users by a semi-join; the
     flag is still computed over all of a user's e-mail aliases.
     """
+    if cohort is not None:  # a user's flag only needs that user's aliases, so restrict first
+        alias = alias.join(cohort.select("cim_id"), "cim_id", "left_semi")
     a = alias.join(F.broadcast(alias_type), "alias_type_id", "left")
-    if cohort is not None:
-        a = a.join(cohort.select("cim_id"), "cim_id", "left_semi")
     flags = employee_flags(alias, alias_type, employee_pattern)
     return a.join(flags, "cim_id", "left").select(
         "cim_id", "alias_value", "alias_type",
