@@ -70,21 +70,25 @@ def _strength(events: DataFrame, weights: dict) -> DataFrame:
     return events.withColumn("strength", w)
 
 
-def implicit_recs(events: DataFrame, meta: DataFrame, weights: dict, k: int = 20, rank: int = 10,
-                  max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 14) -> DataFrame:
-    """ML18 / ML20 / P19: cim_id, post_id, permalink, score, post_order.
-
-    Exactness of the expiry filter: the model is asked for ``k + E`` items per
-    user, where E is the number of expired items the model knows; after
-    dropping expired items at least ``k`` remain whenever ``k`` exist.
-    """
+def fit_implicit(events: DataFrame, weights: dict, rank: int = 10, max_iter: int = 10, reg: float = 0.1,
+                 alpha: float = 1.0, seed: int = 14):
+    """Implicit-feedback ALS on summed event strengths; returns (model, user ids, item ids)."""
     ev = _strength(events.select(F.col("user_id").alias("cim_id"), F.col("item_id").alias("post_id"),
                                  "event_type"), weights)
     uids = dense_ids(ev, "cim_id", "uid", salt="users")
     iids = dense_ids(ev, "post_id", "iid", salt="items")
     train = ev.join(uids, "cim_id").join(iids, "post_id").groupBy("uid", "iid").agg(
         F.sum("strength").alias("strength"))
-    model = _implicit_als(rank, max_iter, reg, alpha, seed).fit(train)
+    return _implicit_als(rank, max_iter, reg, alpha, seed).fit(train), uids, iids
+
+
+def recommend_unexpired(model, uids: DataFrame, iids: DataFrame, meta: DataFrame, k: int = 20) -> DataFrame:
+    """ML20 / P19: cim_id, post_id, permalink, score, post_order for every user of the model.
+
+    Exactness of the expiry filter: the model is asked for ``k + E`` items per
+    user, where E is the number of expired items the model knows; after
+    dropping expired items at least ``k`` remain whenever ``k`` exist.
+    """
     expired = iids.join(meta.filter(F.col("is_expired").eqNullSafe(1)).select("post_id"), "post_id", "left_semi")
     n_expired = expired.count()  # one scalar
     recs = model.recommendForUserSubset(uids.select("uid"), k + int(n_expired))
@@ -98,6 +102,13 @@ def implicit_recs(events: DataFrame, meta: DataFrame, weights: dict, k: int = 20
             .select("cim_id", "post_id", "permalink", "score", "post_order"))
 
 
+def implicit_recs(events: DataFrame, meta: DataFrame, weights: dict, k: int = 20, rank: int = 10,
+                  max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 14) -> DataFrame:
+    """ML18 / ML20 / P19: fit the implicit model on the group's events, then top ``k`` unexpired."""
+    model, uids, iids = fit_implicit(events, weights, rank, max_iter, reg, alpha, seed)
+    return recommend_unexpired(model, uids, iids, meta, k)
+
+
 def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: dt.datetime, holdout_days: int = 7,
                      k: int = 20, rank: int = 10, max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0,
                      seed: int = 14) -> DataFrame:
