@@ -94,9 +94,11 @@ def recommend_unexpired(model, uids: DataFrame, iids: DataFrame, meta: DataFrame
     recs = model.recommendForUserSubset(uids.select("uid"), k + int(n_expired))
     flat = recs.select("uid", F.explode("recommendations").alias("r")).select(
         "uid", F.col("r.iid").alias("iid"), F.round(F.col("r.rating").cast("double"), 6).alias("score"))
-    flat = flat.join(uids, "uid").join(iids, "iid")
-    live = meta.filter(not_expired()).select("post_id", "permalink")
-    flat = flat.join(live, "post_id")
+    flat = flat.join(uids, "uid").join(iids, "iid").join(expired, "post_id", "left_anti")
+    # The permalink comes from unexpired metadata only: an item whose flag is NULL stays in the
+    # list (the exclusion rule only drops flag 1) but has no permalink, as in the original.
+    links = meta.filter(F.col("is_expired") == 0).select("post_id", "permalink")
+    flat = flat.join(links, "post_id", "left")
     w = Window.partitionBy("cim_id").orderBy(F.desc("score"), F.asc("post_id"))
     return (flat.withColumn("post_order", F.row_number().over(w)).filter(F.col("post_order") <= k)
             .select("cim_id", "post_id", "permalink", "score", "post_order"))

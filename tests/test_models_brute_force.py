@@ -18,11 +18,10 @@ def test_implicit_recs_equal_brute_force_top_k(run):
     uid = {r.uid: r.cim_id for r in uids.collect()}
     iid = {r.iid: r.post_id for r in iids.collect()}
     expired = {r.post_id for r in run.meta.filter(F.col("is_expired").eqNullSafe(1)).collect()}
-    known = {r.post_id for r in run.meta.select("post_id").collect()}
     want = {}
     for ui, uvec in u.items():
         scored = [(round(float(uvec @ vvec), 6), iid[ii]) for ii, vvec in v.items()
-                  if iid[ii] in known and iid[ii] not in expired]
+                  if iid[ii] not in expired]
         scored.sort(key=lambda t: (-t[0], t[1]))
         want[uid[ui]] = [p for _, p in scored[:5]]
     have = {}
