@@ -26,10 +26,19 @@ from ..sources import fixtures as fx
 
 
 class DailyRun:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT):
+    """``setup`` / ``seed_history``: optional frames written by earlier runs (the set-up table and the
+    seed history); without them the run derives the set-up itself and uses the fixture's seed log."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT,
+                 setup: DataFrame | None = None, seed_history: DataFrame | None = None):
         self.spark, self.d, self.p = spark, sf_dir, params
         self.as_of = fx.as_of(spark, sf_dir)
         self.orders_as_of = fx.orders_as_of(spark, sf_dir)
+        if setup is not None:
+            self.__dict__["setup"] = setup
+            self.__dict__["groups"] = setup.select("cim_id", "rec_group").distinct()
+        if seed_history is not None:
+            self.__dict__["seed_log"] = seed_history.select("cim_id", "post_id")
 
     # --- inputs -----------------------------------------------------------------------------------
     @cached_property
@@ -285,6 +294,32 @@ class DailyRun:
                                          k=self.p.hosted_recs, seed=self.p.split_seed)
 
 
+def run_initial_setup(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT) -> dict[str, str]:
+    """The one-off set-up: sampled groups with their rated pairs, the day-one seed history
+    (a dummy row per user) and the empty, typed production tables."""
+    from ..schemas import HOSTED_PRODUCTION, PRODUCTION
+    from ..sources import io
+
+    run = DailyRun(spark, sf_dir, params)
+    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in
+             ("groups_interactions_setup", "post_prev_rec", "daily_rec_production", "hosted_rec_production")}
+    io.replace_table(run.setup, paths["groups_interactions_setup"])
+    day_one = run.as_of.replace(year=run.as_of.year - 1)  # sorts before every run date
+    io.append_seed_log(run.seed_init, paths["post_prev_rec"], day_one)
+    io.empty_table(spark, PRODUCTION).write.mode("overwrite").parquet(paths["daily_rec_production"])
+    io.empty_table(spark, HOSTED_PRODUCTION).write.mode("overwrite").parquet(paths["hosted_rec_production"])
+    return paths
+
+
+def _history_before(spark: SparkSession, path: str, as_of) -> DataFrame | None:
+    """Seed history strictly before the run date, so re-running a day never counts its own seeds."""
+    try:
+        h = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no history yet
+        return None
+    return h.filter(F.col("send_date") < F.lit(str(as_of)[:10]))
+
+
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT) -> dict[str, str]:
     """Materialise the day's tables under ``out_dir`` (a shared folder) and return their paths.
 
@@ -298,7 +333,14 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     from ..schemas import HOSTED_STAGING, STAGING
     from ..sources import io
 
-    run = DailyRun(spark, sf_dir, params)
+    base_dir = out_dir.rstrip("/")
+    as_of = fx.as_of(spark, sf_dir)
+    history = _history_before(spark, f"{base_dir}/post_prev_rec", as_of)
+    try:
+        setup = spark.read.parquet(f"{base_dir}/groups_interactions_setup")
+    except Exception:  # noqa: BLE001 - no set-up written: derive it in this run
+        setup = None
+    run = DailyRun(spark, sf_dir, params, setup=setup, seed_history=history)
     names = ("interactions_daily", "rec_post_meta", "daily_rec_staging_csv", "post_prev_rec", "daily_rec_production",
              "final_feed", "outbound_feed_csv", "interactions_export_csv", "item_export_csv",
              "hosted_rec_staging_csv", "hosted_rec_production", "hosted_final_feed", "hosted_outbound_feed_csv")

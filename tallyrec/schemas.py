@@ -19,6 +19,10 @@ PRODUCTION = _s(("cim_id", StringType()), ("email", StringType()), ("subscriber_
                 ("post_title", StringType()), ("image_url", StringType()), ("post_order", IntegerType()),
                 ("sim_score", DoubleType()), ("pred_rating", DoubleType()), ("more_explore", IntegerType()),
                 ("send_date", TimestampNTZType()), ("import_time_stamp", TimestampNTZType()))
+HOSTED_PRODUCTION = _s(("cim_id", StringType()), ("email", StringType()), ("subscriber_id", StringType()),
+                       ("post_id", StringType()), ("permalink", StringType()), ("post_title", StringType()),
+                       ("image_url", StringType()), ("post_order", IntegerType()), ("score", DoubleType()),
+                       ("send_date", TimestampNTZType()), ("import_time_stamp", TimestampNTZType()))
 OUTBOUND = _s(("email", StringType()), ("post_title", StringType()), ("valid", IntegerType()),
               ("send_date", TimestampNTZType()), ("image_url", StringType()), ("url", StringType()),
               ("slugs", StringType()), ("position", IntegerType()), ("test_group", StringType()),

@@ -1,22 +1,30 @@
-"""run_daily writes the day's tables to a shared folder; re-running a day does not double the seed history."""
+"""Set-up once, then the daily run: tables land in a shared folder, and re-running a day
+replaces its own rows (seed history, production history) instead of doubling them."""
 
 import os
 
-from tallyrec.plans.daily import run_daily
+from tallyrec.plans.daily import run_daily, run_initial_setup
 from tallyrec.session import scratch_path
 
 from conftest import SMALL
 
 
-def test_run_daily_is_idempotent(spark):
+def test_setup_then_daily_is_idempotent(spark):
     out = scratch_path(spark, "daily")
+    run_initial_setup(spark, SMALL, out)
     paths = run_daily(spark, SMALL, out)
-    first = spark.read.parquet(paths["post_prev_rec"]).count()
+    recs1 = sorted(map(tuple, spark.read.csv(paths["daily_rec_staging_csv"], header=True).collect()))
+    hist1 = spark.read.parquet(paths["post_prev_rec"])
+    days = hist1.select("send_date").distinct().count()
+    n1 = hist1.count()
     run_daily(spark, SMALL, out)
-    assert spark.read.parquet(paths["post_prev_rec"]).count() == first > 0
+    recs2 = sorted(map(tuple, spark.read.csv(paths["daily_rec_staging_csv"], header=True).collect()))
+    hist2 = spark.read.parquet(paths["post_prev_rec"])
+    assert days == 2 and hist2.count() == n1 > 0       # day one + the run date, not doubled
+    assert recs1 == recs2 and len(recs1) > 0           # the re-run sees the same history
+    prod = spark.read.parquet(paths["daily_rec_production"])
+    assert prod.select("send_date").distinct().count() == 1
     csv_files = [f for f in os.listdir(paths["outbound_feed_csv"].replace("file:", "")) if f.endswith(".csv")]
     assert len(csv_files) == 1
-    hist = spark.read.parquet(paths["daily_rec_production"])
-    assert hist.select("send_date").distinct().count() == 1  # the re-run replaced its own day
     assert spark.read.parquet(paths["final_feed"]).count() > 0
     assert spark.read.parquet(paths["hosted_final_feed"]).count() > 0
