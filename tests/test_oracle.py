@@ -9,6 +9,7 @@ import pytest
 from conftest import SMALL
 
 TABLES = "customer orders events documents pages".split()
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
 
 
 def _norm(v):
@@ -48,6 +49,9 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    oracle_types = {c: str(t) for c, t in zip(ocols, con.sql(E.oracle_sql()[name]).types)}
+    assert spark_types == oracle_types
     assert len(rows) == len(orows)
     assert _digest(rows, df.columns) == _digest(orows, ocols)
 
