@@ -11,15 +11,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARKUP = r"(?d)<.*>"          # greedy, per line: first '<' to last '>' on a line
-NOT_LETTER = "[^a-zA-Z ]"     # only ASCII letters and spaces survive
-MULTI_SPACE = " {2,}"
+# "Every non-letter, non-space -> space, then runs of 2+ spaces -> one space" is the same as
+# "every maximal run of non-letters (spaces included) -> one space": one regex pass, not two.
+NON_LETTER_RUN = "[^a-zA-Z]+"
 PUNCTUATION = r"\p{Punct}"   # the ASCII punctuation set !"#$%&'()*+,-./:;<=>?@[\]^_`{|}~
 
 
 def _letters_only(c: Column) -> Column:
-    c = F.regexp_replace(c, NOT_LETTER, " ")
-    c = F.regexp_replace(c, MULTI_SPACE, " ")
-    return F.lower(F.trim(c))
+    return F.lower(F.trim(F.regexp_replace(c, NON_LETTER_RUN, " ")))
 
 
 def clean_text(c: Column) -> Column:
