@@ -68,11 +68,12 @@ class DailyRun:
                                      self.identity_all, self.orders_as_of, self.p.lookback_days)
         return e.withColumn("total_commission", F.round("total_commission", 6))
 
-    def _activity(self, ident: DataFrame):
+    def _activity(self, ident: DataFrame, prefilter: bool = False):
         lb = self.p.lookback_days
-        v = interactions.page_views(ident, fx.views(self.spark, self.d), self.as_of, lb)
-        c = interactions.link_clicks(ident, fx.clicks(self.spark, self.d), self.as_of, lb)
-        o = interactions.orders(ident, fx.commission(self.spark, self.d), self.as_of, lb)
+        cap = self.p.max_broadcast_rows if prefilter else None
+        v = interactions.page_views(ident, fx.views(self.spark, self.d), self.as_of, lb, cap)
+        c = interactions.link_clicks(ident, fx.clicks(self.spark, self.d), self.as_of, lb, cap)
+        o = interactions.orders(ident, fx.commission(self.spark, self.d), self.as_of, lb, cap)
         return v, c, o
 
     @cached_property
@@ -109,7 +110,8 @@ class DailyRun:
 
     @cached_property
     def activity(self):
-        return self._activity(self.identity)
+        # The daily cohort is a sample: prefilter the events by its anonymous ids (size-checked).
+        return self._activity(self.identity, prefilter=True)
 
     @cached_property
     def seed_log(self) -> DataFrame:

@@ -43,3 +43,10 @@ def test_no_cross_products_or_python_in_any_query(spark, run):
         p = _plan(fn(spark, SMALL))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert word not in p, (name, word)
+
+
+def test_daily_events_are_prefiltered_by_the_cohort_before_aggregation(run):
+    p = _plan(run.activity[0])
+    semi = p.find("LeftSemi, BuildRight")
+    first_partial = p.rfind("partial_count(1)")
+    assert semi != -1 and first_partial != -1 and semi > first_partial  # semi-join sits below the first aggregate
