@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import cdn_url
 from ..functions.time import local_midnight, local_time, ntz
 from ..params import FEED_POST_TYPE, NEVER_USED
+from .joins import keep_keys
 
 
 def production_batch(staging: DataFrame, subscribers: DataFrame, images: DataFrame, titles: DataFrame,
@@ -48,10 +49,17 @@ def current_feed(history: DataFrame, label: str) -> DataFrame:
         F.lit(None).cast("string").alias("received"))
 
 
-def outbound_feed(feed: DataFrame, alias: DataFrame, post_type: str, cdn_marker: str, cdn_prefix: str) -> DataFrame:
+def outbound_feed(feed: DataFrame, alias: DataFrame, post_type: str, cdn_marker: str, cdn_prefix: str,
+                  max_keys: int | None = None) -> DataFrame:
     """Per e-mail keep the rows whose subscriber alias was used last (NULL counts as
-    2000-01-01; ties all stay), rewrite the image to the CDN, test group = last two chars."""
+    2000-01-01; ties all stay), rewrite the image to the CDN, test group = last two chars.
+
+    The alias table covers every user; ``max_keys`` lets the feed's subscriber ids
+    (a cohort-sized set, counted) filter it where it is read (see ``joins.keep_keys``).
+    """
     a = alias.select(F.col("alias_value").alias("subscriber_id"), "last_used_datetime")
+    a = keep_keys(a, feed.select("subscriber_id").filter(F.col("subscriber_id").isNotNull()), "subscriber_id",
+                  max_keys)
     j = feed.join(a, "subscriber_id", "left").filter(F.col("email").isNotNull())
     used = F.coalesce(F.col("last_used_datetime"), F.expr(f"TIMESTAMP_NTZ'{NEVER_USED}'"))
     j = j.withColumn("_u", used).withColumn("_m", F.max("_u").over(Window.partitionBy("email")))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import lookback_start, ntz
+from .joins import keep_keys
 
 
 def employee_flags(alias: DataFrame, alias_type: DataFrame, pattern: str) -> DataFrame:
@@ -65,29 +66,28 @@ def eligible_cohort(engagement: DataFrame, sessions: DataFrame, identity: DataFr
         "lower_email_address", "cim_id", "is_employee", "email_click_likelihood", "total_commission")
 
 
-def latest_email(engagement: DataFrame, users: DataFrame) -> DataFrame:
-    """Each user's rows of the newest extract (ties kept)."""
-    e = engagement.join(users.select("cim_id").distinct(), "cim_id", "left_semi").filter(
+def latest_email(engagement: DataFrame, users: DataFrame, max_keys: int | None = None) -> DataFrame:
+    """Each user's rows of the newest extract (ties kept).  ``max_keys``: see ``joins.keep_keys``."""
+    e = keep_keys(engagement, users.select("cim_id"), "cim_id", max_keys).filter(
         F.col("extract_timestamp").isNotNull())
     newest = e.groupBy("cim_id").agg(F.max("extract_timestamp").alias("extract_timestamp"))
     return e.join(newest, ["cim_id", "extract_timestamp"]).select(
         "lower_email_address", "cim_id", "extract_timestamp")
 
 
-def latest_subscriber(subscribers: DataFrame, emails: DataFrame, active_only: bool = True) -> DataFrame:
+def latest_subscriber(subscribers: DataFrame, emails: DataFrame, active_only: bool = True,
+                      max_keys: int | None = None) -> DataFrame:
     """Newest subscriber row per *raw* address, joined on the normalised address.
 
     One user can keep several subscriber ids (one per raw spelling); the
     outbound feed narrows that later.  ``active_only`` applies inside the
-    "newest" search only, as in the in-house path.
+    "newest" search only, as in the in-house path.  ``max_keys``: see ``joins.keep_keys``.
     """
-    norm = F.lower(F.trim(F.col("email_address")))
-    wanted = emails.select(F.col("lower_email_address").alias("_e")).distinct()
-    cand = subscribers.join(wanted, norm == F.col("_e"), "left_semi")
-    if active_only:
-        cand = cand.filter(F.col("status") == "Active")
+    wanted = emails.select(F.col("lower_email_address").alias("_e"))
+    s = keep_keys(subscribers.withColumn("_e", F.lower(F.trim(F.col("email_address")))), wanted, "_e", max_keys)
+    cand = s.filter(F.col("status") == "Active") if active_only else s
     newest = cand.filter(F.col("email_address").isNotNull() & F.col("date_created").isNotNull()).groupBy(
         "email_address").agg(F.max("date_created").alias("date_created"))
-    s = subscribers.join(newest, ["email_address", "date_created"])
-    return (s.join(emails.select("cim_id", "lower_email_address"), norm == F.col("lower_email_address"))
-            .select("cim_id", norm.alias("email"), "subscriber_id").distinct())
+    rows = s.join(newest, ["email_address", "date_created"])
+    return (rows.join(emails.select("cim_id", F.col("lower_email_address").alias("_e")), "_e")
+            .select("cim_id", F.col("_e").alias("email"), "subscriber_id").distinct())

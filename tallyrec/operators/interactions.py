@@ -14,6 +14,7 @@ from ..functions.ids import md5_bucket100, md5_key
 from ..functions.time import lookback_start, ntz
 from ..params import DUMMY_SEED_POST, GROUP_CONTROL, GROUP_EDGES, GROUP_HOSTED, GROUP_IN_HOUSE
 from .identity import anonymous_ids
+from .joins import keep_keys
 
 KEYS = ["cim_id", "post_id"]
 
@@ -38,9 +39,8 @@ def _events_per_user_post(identity: DataFrame, events: DataFrame, aggs: dict,
     """
     ids = anonymous_ids(identity)
     if prefilter_max_ids is not None:
-        keys = ids.select(F.col("alias_value").alias("anonymous_id")).distinct()
-        if keys.count() <= prefilter_max_ids:
-            events = events.join(F.broadcast(keys), "anonymous_id", "left_semi")
+        events = keep_keys(events, ids.select(F.col("alias_value").alias("anonymous_id")), "anonymous_id",
+                           prefilter_max_ids)
     first = events.groupBy("anonymous_id", "post_id").agg(*[f(c).alias(n) for n, (f, c, _) in aggs.items()])
     joined = first.join(ids, first.anonymous_id == ids.alias_value)
     return joined.groupBy(*KEYS).agg(*[g(n).alias(n) for n, (_, _, g) in aggs.items()])

@@ -234,8 +234,9 @@ class DailyRun:
 
     # --- production and feeds ---------------------------------------------------------------------
     def subscribers_for(self, staging: DataFrame, active_only: bool) -> DataFrame:
-        emails = identity.latest_email(fx.email_engagement(self.spark, self.d), staging.select("cim_id"))
-        return identity.latest_subscriber(fx.subscribers(self.spark, self.d), emails, active_only)
+        cap = self.p.max_broadcast_rows  # staging users come from the sample: counted, then broadcast
+        emails = identity.latest_email(fx.email_engagement(self.spark, self.d), staging.select("cim_id"), cap)
+        return identity.latest_subscriber(fx.subscribers(self.spark, self.d), emails, active_only, cap)
 
     @cached_property
     def images(self) -> DataFrame:
@@ -257,7 +258,7 @@ class DailyRun:
     @cached_property
     def outbound(self) -> DataFrame:
         return feed.outbound_feed(self.current_feed, self.alias, OUTBOUND_POST_TYPE_IN_HOUSE, self.p.cdn_marker,
-                                  self.p.cdn_prefix)
+                                  self.p.cdn_prefix, self.p.max_broadcast_rows)
 
     # --- hosted-style recommender -----------------------------------------------------------------
     @cached_property
@@ -289,7 +290,7 @@ class DailyRun:
     @cached_property
     def hosted_outbound(self) -> DataFrame:
         return feed.outbound_feed(self.hosted_current_feed, self.alias, OUTBOUND_POST_TYPE_HOSTED, self.p.cdn_marker,
-                                  self.p.cdn_prefix)
+                                  self.p.cdn_prefix, self.p.max_broadcast_rows)
 
     def implicit_metrics(self) -> DataFrame:
         return implicit.implicit_metrics(self.event_export, self.meta, self.p.implicit_weights, self.as_of,
@@ -362,7 +363,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     current = feed.current_feed(spark.read.parquet(paths["daily_rec_production"]), FEED_LABEL_IN_HOUSE)
     io.replace_table(current, paths["final_feed"])
     out = feed.outbound_feed(spark.read.parquet(paths["final_feed"]), run.alias, OUTBOUND_POST_TYPE_IN_HOUSE,
-                             params.cdn_marker, params.cdn_prefix)
+                             params.cdn_marker, params.cdn_prefix, params.max_broadcast_rows)
     io.write_csv(out.drop("last_used_datetime"), paths["outbound_feed_csv"], order_by=["email", "subscriber_id", "position"])
 
     # Hosted-style path: exports (P18), recommendations (P19), the same delivery.
@@ -378,7 +379,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     hcurrent = feed.current_feed(spark.read.parquet(paths["hosted_rec_production"]), FEED_LABEL_HOSTED)
     io.replace_table(hcurrent, paths["hosted_final_feed"])
     hout = feed.outbound_feed(spark.read.parquet(paths["hosted_final_feed"]), run.alias, OUTBOUND_POST_TYPE_HOSTED,
-                              params.cdn_marker, params.cdn_prefix)
+                              params.cdn_marker, params.cdn_prefix, params.max_broadcast_rows)
     io.write_csv(hout.drop("last_used_datetime"), paths["hosted_outbound_feed_csv"],
                  order_by=["email", "subscriber_id", "position"])
     return paths
