@@ -248,12 +248,12 @@ class DailyRun:
 
     @cached_property
     def production(self) -> DataFrame:
-        return feed.production_batch(self.recs, self.subscribers_for(self.recs, True), self.images, self.titles,
-                                     self.as_of, self.p.local_tz)
+        return materialize(feed.production_batch(self.recs, self.subscribers_for(self.recs, True), self.images,
+                                                 self.titles, self.as_of, self.p.local_tz), "daily_rec_production")
 
     @cached_property
     def current_feed(self) -> DataFrame:
-        return feed.current_feed(self.production, FEED_LABEL_IN_HOUSE)
+        return materialize(feed.current_feed(self.production, FEED_LABEL_IN_HOUSE), "final_daily_rec_production")
 
     @cached_property
     def outbound(self) -> DataFrame:
@@ -280,12 +280,13 @@ class DailyRun:
     @cached_property
     def hosted_production(self) -> DataFrame:
         """P22 for the hosted group: any subscriber status counts when finding the newest."""
-        return feed.production_batch(self.hosted_recs, self.subscribers_for(self.hosted_recs, False), self.images,
-                                     self.titles, self.as_of, self.p.local_tz)
+        return materialize(feed.production_batch(self.hosted_recs, self.subscribers_for(self.hosted_recs, False),
+                                                 self.images, self.titles, self.as_of, self.p.local_tz),
+                           "hosted_rec_production")
 
     @cached_property
     def hosted_current_feed(self) -> DataFrame:
-        return feed.current_feed(self.hosted_production, FEED_LABEL_HOSTED)
+        return materialize(feed.current_feed(self.hosted_production, FEED_LABEL_HOSTED), "hosted_final_feed")
 
     @cached_property
     def hosted_outbound(self) -> DataFrame:
