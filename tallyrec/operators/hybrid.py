@@ -2,7 +2,8 @@
 rating prediction and tiered re-ranking (ML16), a readable report (ML17) and
 the seed log for the next day (P17).
 
-One set-based plan for all users: no per-user loop, no driver collect.  Top-k
+One set-based plan for all users: no per-user loop; the driver only reads one
+scalar (the largest converted count, for the exact early cut).  Top-k
 per user is ``row_number() <= k``, which Spark plans as a partial
 WindowGroupLimit before the shuffle, so a user with many rows is cut down
 map-side.
