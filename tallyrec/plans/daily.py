@@ -105,8 +105,10 @@ class DailyRun:
     def cohort(self) -> DataFrame:
         """Users and groups of the set-up table.  The sample is drawn from users with page views
         and the set-up rows are view-driven, so its (cim_id, rec_group) pairs are exactly the
-        sample groups; reading those skips the set-up's click and order work."""
-        return self.groups.select("cim_id", "rec_group")
+        sample groups; reading those skips the set-up's click and order work.  The sample has
+        at most ``sample_users`` rows (a limit), so it is broadcast when that bound allows."""
+        c = self.groups.select("cim_id", "rec_group")
+        return F.broadcast(c) if self.p.sample_users <= self.p.max_broadcast_rows else c
 
     @cached_property
     def activity(self):
