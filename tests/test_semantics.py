@@ -173,3 +173,16 @@ def test_lemma_dictionary_maps_tokens_and_stop_words(spark):
     got = {(r.term, r.tf) for r in doc_tokens(docs, spark, (), lemmas=lem).collect()}
     # 'was' -> 'wa' is dropped because the stop word 'was' is mapped to 'wa' too; 'are' is a stop word.
     assert got == {("deal", 2), ("src3", 1), ("homedecor", 1)}
+
+
+def test_null_expiry_differs_by_path(spark):
+    # The content path needs is_expired = 0 (NULL is out); the hosted path drops only flag 1 (NULL stays).
+    from tallyrec.operators.hybrid import similar_posts
+    from tallyrec.operators.implicit import not_expired
+
+    meta = spark.createDataFrame([("a", 0), ("b", None), ("c", 1)], "post_id string, is_expired int")
+    assert sorted(r.post_id for r in meta.filter(not_expired()).collect()) == ["a", "b"]
+    seeds = spark.createDataFrame([("u", "s", 1)], "cim_id string, seed_post_id string, seed_rank int")
+    sim = spark.createDataFrame([("s", p, 0.5) for p in "abc"], "seed_post_id string, post_id string, sim_score double")
+    inter = spark.createDataFrame([], "cim_id string, post_id string, post_rating int")
+    assert [r.post_id for r in similar_posts(seeds, inter, sim, meta, k=5).collect()] == ["a"]
