@@ -14,7 +14,6 @@ from ..functions.ids import md5_bucket100, md5_key
 from ..functions.time import lookback_start, ntz
 from ..params import DUMMY_SEED_POST, GROUP_CONTROL, GROUP_EDGES, GROUP_HOSTED, GROUP_IN_HOUSE
 from .identity import anonymous_ids
-from .joins import keep_keys
 
 KEYS = ["cim_id", "post_id"]
 
@@ -25,54 +24,58 @@ def _union(sources: DataFrame | Sequence[DataFrame], cols: list[str]) -> DataFra
     return reduce(lambda a, b: a.unionByName(b), [s.select(*cols) for s in sources])
 
 
+def cohort_keys(identity: DataFrame, max_ids: int) -> DataFrame | None:
+    """The cohort's anonymous ids as a broadcast key frame, if there are at most ``max_ids``
+    (counted once); otherwise None and the events are not prefiltered."""
+    keys = anonymous_ids(identity).select(F.col("alias_value").alias("anonymous_id")).distinct()
+    return F.broadcast(keys) if keys.count() <= max_ids else None
+
+
 def _events_per_user_post(identity: DataFrame, events: DataFrame, aggs: dict,
-                          prefilter_max_ids: int | None = None) -> DataFrame:
+                          prefilter: DataFrame | None = None) -> DataFrame:
     """Pre-aggregate per (anonymous id, post), then map to users and aggregate again.
 
     The first aggregate is partial per task (map-side combine), so a hot
     anonymous id or post never reaches the alias join as raw events.
 
-    ``prefilter_max_ids``: when the identity map is a small cohort, its anonymous
-    ids are counted (one scalar); if there are at most this many, the events are
-    semi-joined against a broadcast of those ids at the scan, before any
-    aggregation or shuffle.  Above the bound the plain aggregate-then-join path runs.
+    ``prefilter``: a small key frame from ``cohort_keys``; the events are
+    semi-joined against it at the scan, before any aggregation or shuffle.
     """
     ids = anonymous_ids(identity)
-    if prefilter_max_ids is not None:
-        events = keep_keys(events, ids.select(F.col("alias_value").alias("anonymous_id")), "anonymous_id",
-                           prefilter_max_ids)
+    if prefilter is not None:
+        events = events.join(prefilter, "anonymous_id", "left_semi")
     first = events.groupBy("anonymous_id", "post_id").agg(*[f(c).alias(n) for n, (f, c, _) in aggs.items()])
     joined = first.join(ids, first.anonymous_id == ids.alias_value)
     return joined.groupBy(*KEYS).agg(*[g(n).alias(n) for n, (_, _, g) in aggs.items()])
 
 
 def page_views(identity: DataFrame, sources: DataFrame | Sequence[DataFrame], as_of: dt.datetime,
-               lookback_days: int = 28, prefilter_max_ids: int | None = None) -> DataFrame:
+               lookback_days: int = 28, prefilter: DataFrame | None = None) -> DataFrame:
     """cim_id, post_id, max_date, page_view_count over all channels."""
     ev = _union(sources, ["anonymous_id", "post_id", "received_at"]).filter(
         (F.col("received_at") >= ntz(lookback_start(as_of, lookback_days))) & F.col("post_id").isNotNull())
     out = _events_per_user_post(identity, ev, {
         "max_date": (F.max, "received_at", F.max),
         "page_view_count": (F.count, F.lit(1), F.sum),
-    }, prefilter_max_ids)
+    }, prefilter)
     return out.select(*KEYS, "max_date", "page_view_count")
 
 
 def link_clicks(identity: DataFrame, sources: DataFrame | Sequence[DataFrame], as_of: dt.datetime,
-                lookback_days: int = 28, prefilter_max_ids: int | None = None) -> DataFrame:
+                lookback_days: int = 28, prefilter: DataFrame | None = None) -> DataFrame:
     """cim_id, post_id, outgoing_link_click_count."""
     ev = _union(sources, ["anonymous_id", "post_id", "received_at"]).filter(
         (F.col("received_at") >= ntz(lookback_start(as_of, lookback_days))) & F.col("post_id").isNotNull())
     out = _events_per_user_post(identity, ev, {"outgoing_link_click_count": (F.count, F.lit(1), F.sum)},
-                                prefilter_max_ids)
+                                prefilter)
     return out.select(*KEYS, "outgoing_link_click_count")
 
 
 def orders(identity: DataFrame, commission: DataFrame, as_of: dt.datetime, lookback_days: int = 28,
-           prefilter_max_ids: int | None = None) -> DataFrame:
+           prefilter: DataFrame | None = None) -> DataFrame:
     """P5: cim_id, post_id, order_count.  Null post ids are kept here (they never join later)."""
     ev = commission.filter(F.col("commission_date") >= ntz(lookback_start(as_of, lookback_days)))
-    out = _events_per_user_post(identity, ev, {"order_count": (F.sum, "order_count", F.sum)}, prefilter_max_ids)
+    out = _events_per_user_post(identity, ev, {"order_count": (F.sum, "order_count", F.sum)}, prefilter)
     return out.select(*KEYS, "order_count")
 
 

@@ -70,10 +70,10 @@ class DailyRun:
 
     def _activity(self, ident: DataFrame, prefilter: bool = False):
         lb = self.p.lookback_days
-        cap = self.p.max_broadcast_rows if prefilter else None
-        v = interactions.page_views(ident, fx.views(self.spark, self.d), self.as_of, lb, cap)
-        c = interactions.link_clicks(ident, fx.clicks(self.spark, self.d), self.as_of, lb, cap)
-        o = interactions.orders(ident, fx.commission(self.spark, self.d), self.as_of, lb, cap)
+        keys = interactions.cohort_keys(ident, self.p.max_broadcast_rows) if prefilter else None
+        v = interactions.page_views(ident, fx.views(self.spark, self.d), self.as_of, lb, keys)
+        c = interactions.link_clicks(ident, fx.clicks(self.spark, self.d), self.as_of, lb, keys)
+        o = interactions.orders(ident, fx.commission(self.spark, self.d), self.as_of, lb, keys)
         return v, c, o
 
     @cached_property
