@@ -182,11 +182,12 @@ class DailyRun:
     # --- hybrid recommender -----------------------------------------------------------------------
     @cached_property
     def rated_all(self) -> DataFrame:
-        return hybrid.group_interactions(self.interactions, self.meta, None)
+        """All groups' interactions with posts in the metadata (the model trains on every group)."""
+        return materialize(hybrid.group_interactions(self.interactions, self.meta, None), "rated_all")
 
     @cached_property
     def house(self) -> DataFrame:
-        return hybrid.group_interactions(self.interactions, self.meta, GROUP_IN_HOUSE)
+        return self.rated_all.filter(F.col("rec_group") == GROUP_IN_HOUSE)
 
     @cached_property
     def seeds(self) -> DataFrame:
