@@ -2,6 +2,9 @@
 categories and stores (P14), the metadata table (P15) and the post image (P21).
 
 Ids leave every operator as strings; the CMS tables may key posts by number.
+``max_keys`` (see ``joins.keep_keys``): the base post ids are counted and, within
+the bound, broadcast, so the CMS tables (revisions with full text included) are
+filtered where they are read instead of being shuffled for the semi-join.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import from_epoch_seconds, local_time, ntz
+from .joins import keep_keys
 
 
 def _sid(c: str = "id"):
@@ -61,14 +65,14 @@ def post_base(posts: DataFrame, expiry: DataFrame, interactions: DataFrame, now:
     ).distinct()
 
 
-def post_content(post_versions: DataFrame, base: DataFrame) -> DataFrame:
+def post_content(post_versions: DataFrame, base: DataFrame, max_keys: int | None = None) -> DataFrame:
     """Distinct content versions joined by ' ', oldest first (by max(date, modified)).
 
     Distinct values ordered by another expression: first reduce to one row per
     (post, content) with its earliest order key, then sort the per-post array.
     """
     v = post_versions.select(_sid().alias("post_id"), "post_content", "post_date", "post_modified")
-    v = v.join(base.select("post_id"), "post_id", "left_semi").filter(F.col("post_content").isNotNull())
+    v = keep_keys(v, base.select("post_id"), "post_id", max_keys).filter(F.col("post_content").isNotNull())
     per = v.groupBy("post_id", "post_content").agg(
         F.min(F.greatest("post_date", "post_modified")).alias("k"))
     ordered = F.array_sort(F.collect_list(F.struct("k", "post_content")))
@@ -76,7 +80,8 @@ def post_content(post_versions: DataFrame, base: DataFrame) -> DataFrame:
         F.array_join(F.transform(ordered, lambda s: s["post_content"]), " ").alias("post_content"))
 
 
-def post_permalink(posts: DataFrame, postmeta: DataFrame, options: DataFrame, base: DataFrame) -> DataFrame:
+def post_permalink(posts: DataFrame, postmeta: DataFrame, options: DataFrame, base: DataFrame,
+                   max_keys: int | None = None) -> DataFrame:
     """Permalink from the site URL and the permalink template, plus the stored
     permalinks of tips and brags; restricted to the base posts.
 
@@ -99,17 +104,18 @@ def post_permalink(posts: DataFrame, postmeta: DataFrame, options: DataFrame, ba
         F.btrim(F.replace(F.col("meta_value"), F.lit("http:"), F.lit("https:")), F.lit("/")).alias("permalink"),
         "post_type")
     u = a.unionByName(b).distinct()
-    return u.join(base.select("post_id"), "post_id", "left_semi").select("post_id", "permalink")
+    return keep_keys(u, base.select("post_id"), "post_id", max_keys).select("post_id", "permalink")
 
 
-def post_categories(categories: DataFrame, base: DataFrame, exclude_pattern: str) -> DataFrame:
+def post_categories(categories: DataFrame, base: DataFrame, exclude_pattern: str,
+                    max_keys: int | None = None) -> DataFrame:
     """Slugs of each post's newest category date, both lists in one pass.
 
     ``category_list`` / ``store_list`` are the sorted slugs joined by ' ', NULL
     when the post has none of that taxonomy.
     """
     c = categories.select(_sid("post_id").alias("post_id"), "taxonomy", "slug", "post_date")
-    c = c.join(base.select("post_id"), "post_id", "left_semi")
+    c = keep_keys(c, base.select("post_id"), "post_id", max_keys)
     newest = c.groupBy("post_id").agg(F.max("post_date").alias("post_date"))
     kept = (c.join(newest, ["post_id", "post_date"])
             .filter(F.col("taxonomy").isin("store", "category") & ~F.col("slug").rlike(exclude_pattern))

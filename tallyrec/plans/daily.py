@@ -141,15 +141,17 @@ class DailyRun:
 
     @cached_property
     def content(self) -> DataFrame:
-        return posts.post_content(self.post_versions, self.base)
+        return posts.post_content(self.post_versions, self.base, self.p.max_broadcast_rows)
 
     @cached_property
     def permalink(self) -> DataFrame:
-        return posts.post_permalink(self.posts, self.postmeta, fx.options(self.spark), self.base)
+        return posts.post_permalink(self.posts, self.postmeta, fx.options(self.spark), self.base,
+                                    self.p.max_broadcast_rows)
 
     @cached_property
     def categories(self) -> DataFrame:
-        return posts.post_categories(fx.categories(self.spark, self.d), self.base, self.p.category_exclude_pattern)
+        return posts.post_categories(fx.categories(self.spark, self.d), self.base, self.p.category_exclude_pattern,
+                                     self.p.max_broadcast_rows)
 
     @cached_property
     def meta(self) -> DataFrame:
