@@ -50,3 +50,21 @@ def test_daily_events_are_prefiltered_by_the_cohort_before_aggregation(run):
     semi = p.find("LeftSemi, BuildRight")
     first_partial = p.rfind("partial_count(1)")
     assert semi != -1 and first_partial != -1 and semi > first_partial  # semi-join sits below the first aggregate
+
+
+def test_keep_keys_broadcasts_only_within_the_counted_bound(spark):
+    from pyspark.sql import functions as F
+
+    from tallyrec.operators.joins import keep_keys
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only an explicit hint may broadcast
+    try:
+        big = spark.range(1000).select(F.col("id").alias("k"))
+        keys = spark.range(0, 1000, 100).select(F.col("id").alias("k"))
+        small = keep_keys(big, keys, "k", max_keys=10)
+        over = keep_keys(big, keys, "k", max_keys=5)
+        assert small.count() == over.count() == 10
+        assert "BroadcastHashJoin" in _plan(small)
+        assert "BroadcastHashJoin" not in _plan(over)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
