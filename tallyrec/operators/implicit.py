@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import pipe_list
 from ..functions.time import epoch_seconds_rounded, lookback_start, ntz
 from ..params import EVENT_CLICK, EVENT_ORDER, EVENT_VIEW, GROUP_HOSTED
+from ..session import materialize
 from .rating import dense_ids
 
 def not_expired():
@@ -132,7 +133,7 @@ def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: d
              .groupBy("uid").agg(F.collect_set(F.col("iid").cast("double")).alias("label")))
     recs = model.recommendForUserSubset(truth.select("uid"), k).select(
         "uid", F.transform("recommendations", lambda r: r["iid"].cast("double")).alias("prediction"))
-    data = recs.join(truth, "uid")
+    data = materialize(recs.join(truth, "uid"), "ranking_eval")  # three metrics read it; compute it once
     out = {}
     for metric in ("precisionAtK", "ndcgAtK", "meanAveragePrecision"):
         ev_ = RankingEvaluator(metricName=metric, k=k, predictionCol="prediction", labelCol="label")
