@@ -5,17 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import bpe, packing, token_counts
-from tallyrec.llm.common import table
+from tallyrec.llm import bpe, langid, packing, quality, token_counts
+from tallyrec.llm.common import doc_hash, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op3_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return (langid.predict(docs, langid.fit(docs))
+            .withColumn("held_out", doc_hash() % 3 == 1))
+
+
 def op6_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = token_counts.three_edits(table(spark, sf_dir, "documents"))
     return token_counts.edited_counts(docs, public_tokenizers.path(BYTE_BPE))
 
 
+def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return (quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+            .withColumn("held_out", doc_hash() % 5 == 0))
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -25,7 +37,7 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op6_edit_token_counts, op9_sum_of_squares_packing, op10_prefix_bpe,
+    op3_kneser_ney_language, op6_edit_token_counts, op7_subword_quality, op9_sum_of_squares_packing, op10_prefix_bpe,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
