@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import bpe, langid, packing, quality, token_counts
+from tallyrec.llm import bpe, langid, packing, quality, secret_scan, simhash, token_counts
 from tallyrec.llm.common import doc_hash, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op2_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (langid.predict(docs, langid.fit(docs))
@@ -28,6 +32,10 @@ def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("held_out", doc_hash() % 5 == 0))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -37,7 +45,8 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_kneser_ney_language, op6_edit_token_counts, op7_subword_quality, op9_sum_of_squares_packing, op10_prefix_bpe,
+    op2_markov_secrets, op3_kneser_ney_language, op6_edit_token_counts, op7_subword_quality, op8_simhash,
+    op9_sum_of_squares_packing, op10_prefix_bpe,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
