@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import bpe, langid, packing, quality, secret_scan, simhash, token_counts
+from tallyrec.llm import bpe, langid, packing, pii, quality, secret_scan, simhash, token_counts
 from tallyrec.llm.common import doc_hash, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -21,6 +21,11 @@ def op3_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("held_out", doc_hash() % 3 == 1))
 
 
+def op4_lstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op6_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = token_counts.three_edits(table(spark, sf_dir, "documents"))
     return token_counts.edited_counts(docs, public_tokenizers.path(BYTE_BPE))
@@ -45,8 +50,8 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_markov_secrets, op3_kneser_ney_language, op6_edit_token_counts, op7_subword_quality, op8_simhash,
-    op9_sum_of_squares_packing, op10_prefix_bpe,
+    op2_markov_secrets, op3_kneser_ney_language, op4_lstm_crf_pii, op6_edit_token_counts,
+    op7_subword_quality, op8_simhash, op9_sum_of_squares_packing, op10_prefix_bpe,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
