@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import bpe, langid, packing, pii, quality, secret_scan, simhash, token_counts
+from tallyrec.llm import bpe, langid, minhash, packing, pii, quality, secret_scan, simhash, token_counts
 from tallyrec.llm.common import doc_hash, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op4_lstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = token_counts.three_edits(table(spark, sf_dir, "documents"))
     return token_counts.edited_counts(docs, public_tokenizers.path(BYTE_BPE))
@@ -50,8 +54,34 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_markov_secrets, op3_kneser_ney_language, op4_lstm_crf_pii, op6_edit_token_counts,
-    op7_subword_quality, op8_simhash, op9_sum_of_squares_packing, op10_prefix_bpe,
+    op2_markov_secrets, op3_kneser_ney_language, op4_lstm_crf_pii, op5_minhash_near_duplicates,
+    op6_edit_token_counts, op7_subword_quality, op8_simhash, op9_sum_of_squares_packing, op10_prefix_bpe,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+# All pairs that share a shingle are compared on their full sets; labels fall along the links until none changes.
+OP5_SQL = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') as w
+    from documents
+), shingle as (
+    select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s
+    from words
+), size as (
+    select d.doc_id, count(s.s) as n from documents d left join shingle s using (doc_id) group by all
+), common as (
+    select a.doc_id as x, b.doc_id as y, count(*) as c
+    from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id group by all
+), link as (
+    select x, y from common join size p on p.doc_id = x join size q on q.doc_id = y where 100 * c >= 75 * (p.n + q.n - c)
+), reach as (
+    select doc_id, doc_id as other from documents
+    union
+    select reach.doc_id, link.y from reach join link on link.x = reach.other
+)
+select size.doc_id, size.n as n_shingles, min(reach.other) as component_id, size.doc_id = min(reach.other) as kept
+from size join reach using (doc_id) group by size.doc_id, size.n
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_minhash_near_duplicates": OP5_SQL}
