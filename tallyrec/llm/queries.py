@@ -66,7 +66,7 @@ with recursive words as (
     from documents
 ), shingle as (
     select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-        else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
     from words
 ), size as (
     select d.doc_id, count(s.s) as n from documents d left join shingle s using (doc_id) group by all
