@@ -87,9 +87,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """(key, id, df, rank): each representative under the rarest of its pairs, those that occur once left out.
+    """(key, id, df, rank, back, mask): each representative under the rarest of its pairs, those that occur once left out.
 
-    rank: place of the pair among the representative's own, rarest first (equal counts: by pair).
+    rank, back: place of the pair among the representative's kept ones, from the rarest and from the most frequent
+    (equal counts: by pair); mask: the coordinates of the kept ones as bits.
     """
     value = F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     all_ = reps.select("id", F.posexplode("signature").alias("c", "v")).select(
@@ -100,7 +101,11 @@ def postings(reps: DataFrame) -> DataFrame:
             .where(F.size("own") >= MATCHES))
     alone = F.lit(COORDINATES) - F.size("own")
     kept = F.slice("own", F.lit(1), F.lit(COORDINATES - MATCHES + 1) - alone)
-    return mine.select("id", F.posexplode(kept).alias("rank", "p")).select("p.key", "id", "p.df", "rank")
+    mask = F.aggregate("kept", F.lit(0).cast("long"), lambda m, p: m.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(p["key"], 32).cast("int"))))
+    mine = mine.select("id", kept.alias("kept")).withColumn("mask", mask)
+    return (mine.select("id", "mask", F.size("kept").alias("n"), F.posexplode("kept").alias("rank", "p"))
+            .select("p.key", "id", "p.df", "rank", (F.col("n") - 1 - F.col("rank")).alias("back"), "mask"))
 
 
 def agreeing(a, b):
@@ -147,8 +152,9 @@ def full_pairs(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFr
     """Pairs of different components in one list that agree in MATCHES coordinates and may be similar by size.
 
     Lists with one component left are done.  The others are dealt into blocks of about BLOCK; a task compares two blocks.
+    A pair comes out of the first list only in which both are posted.
     """
-    named = posts.select("key", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = posts.select("key", "id", "mask").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
              .where("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     named = named.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -156,12 +162,14 @@ def full_pairs(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFr
     i = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
     dealt = named.withColumn("at", i).select(
-        F.xxhash64("key", "at.i", "at.j").alias("g"), "id", "component", "block", "n_shingles", "signature")
+        F.xxhash64("key", "at.i", "at.j").alias("g"), "id", "component", "block", "n_shingles", "signature", "mask",
+        F.shiftright("key", 32).alias("coordinate"))
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "g").sortWithinPartitions("g", "block", "id")
 
     def compare(g) -> tuple[list, list]:
-        ids, comp, block, size, sig = g
+        ids, comp, block, size, sig, mask, coordinate = g
+        posted = (mask[:, None] >> np.arange(COORDINATES) & 1).astype(bool)
         x, y = np.flatnonzero(block == block[0]), np.flatnonzero(block == block[-1])
         out_a, out_b = [], []
         for s in range(0, len(x), 64):
@@ -172,14 +180,18 @@ def full_pairs(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFr
             good = (agree >= MATCHES) & (comp[rows][:, None] != comp[y][None, :]) & (ids[rows][:, None] != ids[y][None, :])
             good &= 100 * np.minimum(size[rows][:, None], size[y][None, :]) >= 75 * np.maximum(size[rows][:, None], size[y][None, :])
             r, c = np.nonzero(good)
-            out_a.append(np.minimum(ids[rows[r]], ids[y[c]]))
-            out_b.append(np.maximum(ids[rows[r]], ids[y[c]]))
+            for b in range(0, max(len(r), 1), 20_000):
+                p, q = rows[r[b:b + 20_000]], y[c[b:b + 20_000]]
+                both = (sig[p] == sig[q]) & posted[p] & posted[q]
+                first = both.argmax(1) == coordinate[0]
+                out_a.append(np.minimum(ids[p[first]], ids[q[first]]))
+                out_b.append(np.maximum(ids[p[first]], ids[q[first]]))
         return np.concatenate(out_a), np.concatenate(out_b)
 
     def columns(batch):
         sig = batch.column(5)
         flat_sig = sig.flatten().to_numpy().reshape(-1, COORDINATES)
-        return [batch.column(i).to_numpy() for i in range(5)] + [flat_sig]
+        return [batch.column(i).to_numpy() for i in range(5)] + [flat_sig] + [batch.column(i).to_numpy() for i in (6, 7)]
 
     def run(batches):
         held = None
@@ -226,18 +238,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         like = pairs.join(b, "b").join(a, "a").where(100 * F.least("na", "nb") >= 75 * F.greatest("na", "nb"))
         return like.where(agreeing(F.col("sa"), F.col("sb")) >= MATCHES).select("a", "b")
 
-    links = None
+    def renamed(pairs: DataFrame) -> DataFrame:
+        """Pairs of components, from pairs of ids."""
+        for c in "ab":
+            pairs = pairs.join(labels.select(F.col("id").alias(c), F.col("component").alias("c" + c)), c, "left")
+        return pairs.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb")
+
+    def merged(links: DataFrame) -> DataFrame:
+        """Labels after more links: components of the present components."""
+        over = components(renamed(links).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        over = over.select(F.col("id").alias("component"), F.col("component").alias("top"))
+        return checkpointed(labels.join(over, "component", "left").select("id", F.coalesce("top", "component").alias("component")))
+
     labels = members.select("id", F.col("id").alias("component"))
-    for seed, (low, high) in enumerate([(0, 2), (2, 8)]):  # few lists at first, then more for what is still apart
-        pairs = leader_pairs(posts.where((F.col("rank") >= low) & (F.col("rank") < high)), seed)
-        if links is not None:
-            la, lb = (labels.select(F.col("id").alias(c), F.col("component").alias("c" + c)) for c in "ab")
-            pairs = pairs.join(la, "a", "left").join(lb, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-        fresh = stored(jaccard_links(near(pairs), texts), "minhash-links")
-        links = fresh if links is None else links.union(fresh)
-        labels = components(links)
-    fresh = stored(jaccard_links(full_pairs(posts, signed, labels), texts), "minhash-links")
-    labels = components(links.union(fresh))
+    # the most frequent kept list first, as it joins large groups with one pair a member; then a few more for what is still apart
+    for seed, chosen in enumerate(["back = 0", "back between 1 and 3 or rank < 2"]):
+        pairs = leader_pairs(posts.where(chosen), seed)
+        if seed:
+            pairs = renamed(pairs).select("a", "b")
+        labels = merged(stored(jaccard_links(near(pairs), texts), "minhash-links"))
+    labels = merged(stored(jaccard_links(full_pairs(posts, signed, labels), texts), "minhash-links"))
     named = classes.join(labels, "id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     of_row = base.select("doc_id", "d1", "d2", "n_shingles").join(named, ["d1", "d2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))

@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import bpe, langid, minhash, packing, pii, quality, secret_scan, simhash, token_counts
+from tallyrec.llm import bpe, embed_dedup, langid, minhash, packing, pii, quality, secret_scan, simhash, token_counts
 from tallyrec.llm.common import doc_hash, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op1_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_markov_secrets, op3_kneser_ney_language, op4_lstm_crf_pii, op5_minhash_near_duplicates,
+    op1_rotated_codes, op2_markov_secrets, op3_kneser_ney_language, op4_lstm_crf_pii, op5_minhash_near_duplicates,
     op6_edit_token_counts, op7_subword_quality, op8_simhash, op9_sum_of_squares_packing, op10_prefix_bpe,
 )}
 
@@ -84,4 +88,22 @@ select size.doc_id, size.n as n_shingles, min(reach.other) as component_id, size
 from size join reach using (doc_id) group by size.doc_id, size.n
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_minhash_near_duplicates": OP5_SQL}
+OP1_SQL = """
+with recursive v as (
+    select vec_id, embedding::double[] as e from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link as (
+    select a.vec_id as x, b.vec_id as y from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_cosine_similarity(a.e, b.e) >= 0.95
+), reach as (
+    select vec_id, vec_id as other from embeddings
+    union
+    select reach.vec_id, link.y from reach join link on link.x = reach.other
+), count_of as (select x, count(*) as n from link group by x)
+select r.vec_id, coalesce(any_value(c.n), 0)::bigint as n_links, min(r.other) as component_id, r.vec_id = min(r.other) as kept
+from reach r left join count_of c on c.x = r.vec_id group by r.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_rotated_codes": OP1_SQL, "op5_minhash_near_duplicates": OP5_SQL}
