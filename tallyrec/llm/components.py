@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.common import checkpointed
+from tallyrec.llm.common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,15 +15,16 @@ def components(links: DataFrame) -> DataFrame:
     halve with every round.  Labels stay in tables; only the number of changes goes to the driver.
     """
     both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).where("a <> b")
-    both = checkpointed(both.union(both.select("other", "id")).distinct())
-    labels = checkpointed(both.groupBy("id").agg(F.least(F.min("other"), F.col("id")).alias("component")))
+    both = stored(both.union(both.select("other", "id")).distinct(), "component-links")
+    labels = stored(both.groupBy("id").agg(F.least(F.min("other"), F.col("id")).alias("component")), "component-labels")
     while True:
         near = (both.join(labels.withColumnRenamed("id", "other"), "other")
                 .groupBy("id").agg(F.min("component").alias("near")))
         lower = labels.join(near, "id").select("id", F.col("component").alias("before"), F.least("component", "near").alias("component"))
         jump = labels.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        lower = checkpointed(lower.join(jump, "component").select("id", "before", F.least("component", "root").alias("component")))
-        changed = lower.where("before <> component").limit(1).count()
+        lower = lower.join(jump, "component").select("id", "before", F.least("component", "root").alias("component"))
+        lower = stored(lower, "component-labels")  # a table has its true size; a checkpoint would carry the joins' estimate along
+        changed = lower.where("before <> component").take(1)
         labels = lower.select("id", "component")
         if not changed:
             return labels

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import checkpointed, map_slices, stored
+from tallyrec.llm.common import map_slices, slices, stored
 from tallyrec.llm.components import components
 
 SHINGLE, COORDINATES, MATCHES = 5, 64, 36
@@ -114,8 +114,6 @@ def agreeing(a, b):
 
 def jaccard_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= 75 * union."""
-    from tallyrec.llm.common import slices
-
     rows = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
 
@@ -234,7 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = base.select(F.col("doc_id").alias("id"), "d1", "d2", "n_shingles", "signature").join(ids, ["id", "d1", "d2", "n_shingles"], "left_semi")
     signed = signed.dropDuplicates(["id", "d1", "d2", "n_shingles"]).select("id", "n_shingles", "signature")
     posts = stored(postings(signed), "minhash-postings")
-    members = checkpointed(posts.select("id").distinct())
+    members = stored(posts.select("id").distinct(), "minhash-ids")
     signed = stored(signed.join(members, "id", "left_semi"), "minhash-members")
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(members, "id", "left_semi").dropDuplicates(["id"])
     texts = stored(texts, "minhash-texts")
@@ -255,7 +253,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         """Labels after more links: components of the present components."""
         over = components(renamed(links).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
         over = over.select(F.col("id").alias("component"), F.col("component").alias("top"))
-        return checkpointed(labels.join(over, "component", "left").select("id", F.coalesce("top", "component").alias("component")))
+        return stored(labels.join(over, "component", "left").select("id", F.coalesce("top", "component").alias("component")), "minhash-labels")
 
     labels = members.select("id", F.col("id").alias("component"))
     # the most frequent kept list first, as it joins large groups with one pair a member; then a few more for what is still apart
