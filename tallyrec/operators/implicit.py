@@ -115,7 +115,11 @@ def implicit_recs(events: DataFrame, meta: DataFrame, weights: dict, k: int = 20
 def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: dt.datetime, holdout_days: int = 7,
                      k: int = 20, rank: int = 10, max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0,
                      seed: int = 14) -> DataFrame:
-    """ML19: precision@k, NDCG@k and MAP of the implicit model on the last ``holdout_days``."""
+    """ML19: precision@k, NDCG@k and MAP of the implicit model on the last ``holdout_days``.
+
+    Every held-out user and item counts: an item that the model has not seen is a miss, and a user
+    that it has not seen gets no recommendation.
+    """
     from pyspark.ml.evaluation import RankingEvaluator
 
     start = ntz(lookback_start(as_of, holdout_days))
@@ -123,8 +127,9 @@ def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: d
     test_ev = events.filter(F.col("max_date") >= start)
     ev = _strength(train_ev.select(F.col("user_id").alias("cim_id"), F.col("item_id").alias("post_id"),
                                    "event_type"), weights)
-    uids = dense_ids(ev, "cim_id", "uid", salt="users")
-    iids = dense_ids(ev, "post_id", "iid", salt="items")
+    known = events.select(F.col("user_id").alias("cim_id"), F.col("item_id").alias("post_id"))
+    uids = dense_ids(known, "cim_id", "uid", salt="users")  # ids of both parts; only the first is trained on
+    iids = dense_ids(known, "post_id", "iid", salt="items")
     train = ev.join(uids, "cim_id").join(iids, "post_id").groupBy("uid", "iid").agg(
         F.sum("strength").alias("strength"))
     model = _implicit_als(rank, max_iter, reg, alpha, seed).fit(train)
@@ -133,7 +138,9 @@ def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: d
              .groupBy("uid").agg(F.collect_set(F.col("iid").cast("double")).alias("label")))
     recs = model.recommendForUserSubset(truth.select("uid"), k).select(
         "uid", F.transform("recommendations", lambda r: r["iid"].cast("double")).alias("prediction"))
-    data = materialize(recs.join(truth, "uid"), "ranking_eval")  # three metrics read it; compute it once
+    none = F.array().cast("array<double>")
+    recs = truth.join(recs, "uid", "left").withColumn("prediction", F.coalesce("prediction", none))
+    data = materialize(recs, "ranking_eval")  # three metrics read it; compute it once
     out = {}
     for metric in ("precisionAtK", "ndcgAtK", "meanAveragePrecision"):
         ev_ = RankingEvaluator(metricName=metric, k=k, predictionCol="prediction", labelCol="label")

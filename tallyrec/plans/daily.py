@@ -13,6 +13,7 @@ appended idempotently per run date.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -313,7 +314,7 @@ def run_initial_setup(spark: SparkSession, sf_dir: str, out_dir: str, params: Ru
     paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in
              ("groups_interactions_setup", "post_prev_rec", "daily_rec_production", "hosted_rec_production")}
     io.replace_table(run.setup, paths["groups_interactions_setup"])
-    day_one = run.as_of.replace(year=run.as_of.year - 1)  # sorts before every run date
+    day_one = run.as_of - timedelta(days=366)  # sorts before every run date
     io.append_seed_log(run.seed_init, paths["post_prev_rec"], day_one)
     io.empty_table(spark, PRODUCTION).write.mode("overwrite").parquet(paths["daily_rec_production"])
     io.empty_table(spark, HOSTED_PRODUCTION).write.mode("overwrite").parquet(paths["hosted_rec_production"])
@@ -322,11 +323,10 @@ def run_initial_setup(spark: SparkSession, sf_dir: str, out_dir: str, params: Ru
 
 def _history_before(spark: SparkSession, path: str, as_of) -> DataFrame | None:
     """Seed history strictly before the run date, so re-running a day never counts its own seeds."""
-    try:
-        h = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no history yet
-        return None
-    return h.filter(F.col("send_date") < F.lit(str(as_of)[:10]))
+    from ..sources import io
+
+    h = io.read_if_written(spark, path)
+    return None if h is None else h.filter(F.col("send_date") < F.lit(str(as_of)[:10]))
 
 
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT) -> dict[str, str]:
@@ -345,10 +345,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     base_dir = out_dir.rstrip("/")
     as_of = fx.as_of(spark, sf_dir)
     history = _history_before(spark, f"{base_dir}/post_prev_rec", as_of)
-    try:
-        setup = spark.read.parquet(f"{base_dir}/groups_interactions_setup")
-    except Exception:  # noqa: BLE001 - no set-up written: derive it in this run
-        setup = None
+    setup = io.read_if_written(spark, f"{base_dir}/groups_interactions_setup")  # none: derived in this run
     run = DailyRun(spark, sf_dir, params, setup=setup, seed_history=history)
     names = ("interactions_daily", "rec_post_meta", "daily_rec_staging_csv", "post_prev_rec", "daily_rec_production",
              "final_feed", "outbound_feed_csv", "interactions_export_csv", "item_export_csv",

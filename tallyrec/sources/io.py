@@ -30,9 +30,8 @@ def write_csv(df: DataFrame, path: str, order_by: list[str] | None = None, singl
     keeps the parallel layout for large exports."""
     out = df
     if single_file:
-        out = out.orderBy(*order_by) if order_by else out
-        out = out.coalesce(1)
-    elif order_by:
+        out = out.repartition(1)  # an exchange, so the work above it stays parallel
+    if order_by:
         out = out.sortWithinPartitions(*order_by)
     out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
@@ -48,9 +47,37 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop file system and path object of a folder, in whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if nothing was written there yet; any other trouble raises."""
+    fs, p = _folder(spark, path)
+    return spark.read.parquet(path) if fs.exists(p) else None
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """SNK2: rebuild a derived table (parquet, overwrite)."""
-    df.write.mode("overwrite").parquet(path)
+    """SNK2: rebuild a derived table (parquet).
+
+    The rows go to a fresh folder first, which then takes the old one's place by renaming: a failed
+    write leaves the old table as it was.
+    """
+    import uuid
+
+    path = path.rstrip("/")
+    fresh, old = (f"{path}.{part}-{uuid.uuid4().hex[:8]}" for part in ("new", "old"))
+    df.write.parquet(fresh)
+    fs, target = _folder(df.sparkSession, path)
+    had = fs.exists(target)
+    if had and not fs.rename(target, _folder(df.sparkSession, old)[1]):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(_folder(df.sparkSession, fresh)[1], target):
+        raise OSError(f"cannot move the new table to {path}")
+    if had:
+        fs.delete(_folder(df.sparkSession, old)[1], True)
 
 
 def append_batch(df: DataFrame, path: str, partition_col: str = "send_date") -> None:
