@@ -120,20 +120,54 @@ class Words:
 
     def __init__(self, tokenizer, cache: int = 200_000):
         self.t, self.seen = tokenizer, Recent(cache)
-        self.blanks = str.maketrans(dict.fromkeys(BLANKS, " "))
+
+    def _chunks(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        for blank in BLANKS[1:]:
+            text = text.replace(blank, " ")
+        try:  # the vocabulary is of lower case; for these letters Python's rule is the file's
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        return text.split(" ")
+
+    def _learn(self, lacking: list[str]) -> None:
+        """Encode chunks joined by blanks, a few thousand at a time; a token belongs to the chunk that its offset lies in."""
+        lacking = [c for c in lacking if c]
+        for i in range(0, len(lacking), 4000):
+            part = lacking[i:i + 4000]
+            e = self.t.encode(" ".join(part), add_special_tokens=False)
+            begin = np.cumsum([0] + [len(c) + 1 for c in part])
+            at = np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids)), begin).tolist()
+            ids = np.array(e.ids, "<u4").tobytes()
+            for c, a, b in zip(part, at[:-1], at[1:], strict=True):
+                self.seen[c] = ids[4 * a:4 * b]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        lists = [t.translate(self.blanks).split(" ") if t else [] for t in texts]
+        lists = [self._chunks(t) for t in texts]
         self.seen.trim()
+        self.seen[""] = b""
         known: set[str] = set()
         for x in lists:
             known.update(x)
         lacking = self.seen.lacking(known)
-        for i in range(0, len(lacking), 10_000):
-            part = lacking[i:i + 10_000]
-            for w, e in zip(part, self.t.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.seen[w] = np.array(e.ids, "<u4").tobytes()
+        # letters with a full stop or comma behind: both parts are pre-tokens of their own
+        whole, ends = [], []
+        for c in lacking:
+            core = c.rstrip(".,;:!?")
+            if len(core) < len(c) and core.isalpha():
+                ends.append((c, core))
+            else:
+                whole.append(c)
+        need = set(whole)
+        need.update(core for _, core in ends)
+        need.update(c[len(core):] for c, core in ends)
+        self._learn(self.seen.lacking(need))
         get = self.seen.__getitem__
+        for c, core in ends:
+            self.seen[c] = get(core) + get(c[len(core):])
         return [b"".join([get(w) for w in x]) for x in lists]
 
 
