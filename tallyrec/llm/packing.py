@@ -118,7 +118,7 @@ class Words:
     one, so the chunks' ids one after the other are the text's.
     """
 
-    def __init__(self, tokenizer, cache: int = 200_000):
+    def __init__(self, tokenizer, cache: int = 350_000):
         self.t, self.seen = tokenizer, Recent(cache)
 
     def _chunks(self, text: str | None) -> list[str]:
