@@ -140,7 +140,7 @@ def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: d
         "uid", F.transform("recommendations", lambda r: r["iid"].cast("double")).alias("prediction"))
     none = F.array().cast("array<double>")
     recs = truth.join(recs, "uid", "left").withColumn("prediction", F.coalesce("prediction", none))
-    data = materialize(recs, "ranking_eval")  # three metrics read it; compute it once
+    data = materialize(recs)  # three metrics read it; compute it once
     out = {}
     for metric in ("precisionAtK", "ndcgAtK", "meanAveragePrecision"):
         ev_ = RankingEvaluator(metricName=metric, k=k, predictionCol="prediction", labelCol="label")

@@ -14,12 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import hash_rank
+from ..params import GRID_FOLDS, GRID_ITERATIONS, GRID_PENALTIES
+from ..session import materialize
 
 
 def _r() -> Column:
     return F.col("post_rating")
 
 
+RATINGS_PER_BLOCK = 1_000_000
+
+
 @dataclass
 class BiasModel:
     mu: Column             # uncorrelated scalar subquery: the global mean rating
@@ -98,72 +103,130 @@ def dense_ids(values: DataFrame, col: str, out: str, salt: str = "ids") -> DataF
 @dataclass
 class FactorModel:
     bias: BiasModel
-    als: object            # pyspark.ml.recommendation.ALSModel
-    user_ids: DataFrame    # cim_id, uid
-    item_ids: DataFrame    # post_id, iid
+    users: DataFrame       # cim_id, uf: array<float>
+    items: DataFrame       # post_id, vf: array<float>
+
+
+@dataclass(frozen=True)
+class Setting:
+    """One point of the search grid."""
+
+    max_iter: int
+    reg: float
 
 
-def _residual_frame(ratings: DataFrame, bias: BiasModel, user_ids: DataFrame, item_ids: DataFrame) -> DataFrame:
+def _residuals(ratings: DataFrame, bias: BiasModel, user_ids: DataFrame, item_ids: DataFrame) -> DataFrame:
     b = baseline(ratings.select("cim_id", "post_id", "post_rating"), bias)
     return (b.join(user_ids, "cim_id").join(item_ids, "post_id")
             .select("uid", "iid", (_r() - F.col("base")).alias("residual")))
 
 
-def _als(max_iter: int, reg: float, rank: int, seed: int, cold: str):
+def _fit_als(residuals: DataFrame, setting: Setting, rank: int, seed: int, n_ratings: int):
+    """``n_ratings`` sizes the blocks, so that one block's ratings and factors fit a task at any scale."""
     from pyspark.ml.recommendation import ALS
 
-    return ALS(userCol="uid", itemCol="iid", ratingCol="residual", rank=rank, maxIter=max_iter, regParam=reg,
-               seed=seed, coldStartStrategy=cold, nonnegative=False, implicitPrefs=False)
+    blocks = max(2, -(-n_ratings // RATINGS_PER_BLOCK))
+    return ALS(userCol="uid", itemCol="iid", ratingCol="residual", rank=rank, maxIter=setting.max_iter,
+               regParam=setting.reg, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks).fit(residuals)
+
+
+def _factors(als, ids: DataFrame, side: str) -> DataFrame:
+    """The learned vectors under the ids of the ratings: (cim_id, uf) or (post_id, vf)."""
+    table, key, num, out = ((als.userFactors, "cim_id", "uid", "uf") if side == "user"
+                            else (als.itemFactors, "post_id", "iid", "vf"))
+    return ids.join(table.select(F.col("id").alias(num), F.col("features").alias(out)), num).select(key, out)
 
 
 def fit_factors(ratings: DataFrame, lambda_item: float = 10.0, lambda_user: float = 15.0, rank: int = 10,
                 max_iter: int = 10, reg: float = 0.05, seed: int = 14) -> FactorModel:
-    """ML14: baseline + ALS on the residuals, fitted on all ratings."""
+    """ML14: baseline + ALS on the residuals, fitted on all ``ratings``."""
     bias = fit_bias(ratings, lambda_item, lambda_user)
     uids = dense_ids(ratings, "cim_id", "uid", salt="users")
     iids = dense_ids(ratings, "post_id", "iid", salt="items")
-    als = _als(max_iter, reg, rank, seed, "nan").fit(_residual_frame(ratings, bias, uids, iids))
-    return FactorModel(bias, als, uids, iids)
+    als = _fit_als(_residuals(ratings, bias, uids, iids), Setting(max_iter, reg), rank, seed, ratings.count())
+    return FactorModel(bias, _factors(als, uids, "user"), _factors(als, iids, "item"))
+
+
+def _with_factors(based: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Adds ``pred`` = clip(base + uf . vf) to rows that have ``base``; a side without a vector adds nothing.
+
+    Plain left joins on the ids of the ratings: an unseen id simply finds no row, so unseen posts never
+    share a key.
+    """
+    j = based.join(users, "cim_id", "left").join(items, "post_id", "left")
+    dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0),
+                      lambda acc, x: acc + x)
+    return j.withColumn("pred", F.least(F.lit(4.0), F.greatest(F.lit(1.0), F.col("base") + F.coalesce(
+        dot, F.lit(0.0))))).drop("uf", "vf")
 
 
 def predict_factors(pairs: DataFrame, model: FactorModel) -> DataFrame:
-    """ML15: clip(mu + b_u + b_i + ALS residual, 1, 4); unseen ids get no residual (NaN -> 0)."""
-    b = baseline(pairs, model.bias)
-    b = (b.join(model.user_ids, "cim_id", "left").join(model.item_ids, "post_id", "left")
-         .withColumn("uid", F.coalesce("uid", F.lit(-1))).withColumn("iid", F.coalesce("iid", F.lit(-1))))
-    scored = model.als.transform(b)
-    resid = F.coalesce(F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)), F.lit(0.0))
-    return scored.withColumn("pred_rating", clip_round(F.col("base") + resid)).drop("base", "uid", "iid", "prediction")
-
-
-def als_grid_search(ratings: DataFrame, max_iters=(5, 10), regs=(0.01, 0.05), folds: int = 3, rank: int = 10,
-                    seed: int = 14, lambda_item: float = 10.0, lambda_user: float = 15.0,
-                    parallelism: int = 4) -> DataFrame:
-    """ML11: k-fold cross-validated RMSE of the residual model for every grid point.
-
-    The original searched 8 iteration counts x 2 learning rates x 2 penalties; ALS
-    has no learning rate, so the grid is iterations x regularisation.  The
-    original's sizes are ``params.GRID_ITERATIONS`` x ``params.GRID_PENALTIES``
-    (16 settings, 48 fits); the default here is a 2 x 2 grid to keep a local
-    run short.  ``parallelism`` fits that many settings at once.
+    """ML15: clip(mu + b_u + b_i + residual, 1, 4); an unseen user or post gets the known terms only."""
+    scored = _with_factors(baseline(pairs, model.bias), model.users, model.items)
+    return scored.withColumn("pred_rating", F.round("pred", 6)).drop("base", "pred")
+
+
+def factor_rmse(split: DataFrame, setting: Setting, lambda_item: float = 10.0, lambda_user: float = 15.0,
+                rank: int = 10, seed: int = 14) -> DataFrame:
+    """ML13: RMSE of the factor model fitted on 'train' with ``setting``, on both parts (one row)."""
+    model = fit_factors(split.filter(F.col("part") == "train"), lambda_item, lambda_user, rank, setting.max_iter,
+                        setting.reg, seed)
+    scored = _with_factors(baseline(split.select("cim_id", "post_id", "post_rating", "part"), model.bias),
+                           model.users, model.items)
+    error = F.pow(_r() - F.col("pred"), 2)
+    return scored.groupBy().agg(
+        F.round(F.sqrt(F.avg(F.when(F.col("part") == "train", error))), 6).alias("rmse_train"),
+        F.round(F.sqrt(F.avg(F.when(F.col("part") == "test", error))), 6).alias("rmse_test"),
+        F.lit(setting.max_iter).alias("max_iter"), F.lit(setting.reg).alias("reg_param"))
+
+
+def als_grid_search(ratings: DataFrame, max_iters=GRID_ITERATIONS, regs=GRID_PENALTIES, folds: int = GRID_FOLDS,
+                    rank: int = 10, seed: int = 14, lambda_item: float = 10.0, lambda_user: float = 15.0,
+                    parallelism: int = 8) -> DataFrame:
+    """ML11: cross-validated RMSE of the factor model for every grid point: max_iter, reg_param, rmse, best.
+
+    ALS has no learning rate, so the grid is iterations x penalties.  A pair's fold follows from the md5 of
+    its ids, so a recomputed task puts it in the same fold.  Every validation pair counts: where the fold's
+    training part has not seen the user or the post, the baseline is the prediction.  The error is that of
+    the clipped rating.  Ties go to fewer iterations, then to the smaller penalty.  Too few ratings for a
+    fold to have a training or a validation part: that fold is not scored.
     """
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from multiprocessing.pool import ThreadPool
 
-    bias = fit_bias(ratings, lambda_item, lambda_user)
-    uids = dense_ids(ratings, "cim_id", "uid", salt="users")
-    iids = dense_ids(ratings, "post_id", "iid", salt="items")
-    data = _residual_frame(ratings, bias, uids, iids)
-    als = _als(max_iters[0], regs[0], rank, seed, "drop")
-    grid = ParamGridBuilder().addGrid(als.maxIter, list(max_iters)).addGrid(als.regParam, list(regs)).build()
-    ev = RegressionEvaluator(metricName="rmse", labelCol="residual", predictionCol="prediction")
-    cv = CrossValidator(estimator=als, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    fitted = cv.fit(data)
-    rows = [(int(pm[als.maxIter]), float(pm[als.regParam]), float(m))
-            for pm, m in zip(grid, fitted.avgMetrics)]
-    best = min(r[2] for r in rows)
     spark = ratings.sparkSession
-    return spark.createDataFrame(
-        [(a, b, round(c, 6), c == best) for a, b, c in rows],
-        "max_iter int, reg_param double, rmse double, best boolean")
+    key = F.concat_ws("|", F.lit(f"fold{seed}"), "cim_id", "post_id")
+    data = materialize(ratings.select("cim_id", "post_id", "post_rating",
+                                      (F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"),
+                                              F.lit(folds)).alias("fold"))))
+    grid = [Setting(i, r) for i in max_iters for r in regs]
+    sizes = {row["fold"]: row["n"] for row in data.groupBy("fold").agg(F.count("*").alias("n")).collect()}  # <= folds
+    errors: dict[Setting, list[float]] = {g: [] for g in grid}
+    for fold in sorted(sizes):
+        if len(sizes) == 1:
+            break
+        train = data.filter(F.col("fold") != fold)
+        n_train = sum(sizes.values()) - sizes[fold]
+        bias = fit_bias(train, lambda_item, lambda_user)
+        uids = materialize(dense_ids(train, "cim_id", "uid", salt="users"))
+        iids = materialize(dense_ids(train, "post_id", "iid", salt="items"))
+        residuals = materialize(_residuals(train, bias, uids, iids))
+        held = materialize(baseline(data.filter(F.col("fold") == fold), bias))
+
+        def score(setting: Setting) -> float:
+            als = _fit_als(residuals, setting, rank, seed, n_train)
+            scored = _with_factors(held, _factors(als, uids, "user"), _factors(als, iids, "item"))
+            return scored.agg(F.sqrt(F.avg(F.pow(_r() - F.col("pred"), 2)))).first()[0]
+
+        with ThreadPool(parallelism) as pool:
+            for setting, error in zip(grid, pool.map(score, grid)):
+                errors[setting].append(error)
+    rows = [(g.max_iter, g.reg, round(sum(e) / len(e), 6) if e else None) for g, e in errors.items()]
+    best = min(rows, key=lambda r: (r[2] is None, r[2], r[0], r[1]))
+    return spark.createDataFrame([(*r, r == best) for r in rows],
+                                 "max_iter int, reg_param double, rmse double, best boolean")
+
+
+def best_setting(searched: DataFrame) -> Setting:
+    """The winner of ``als_grid_search``."""
+    row = searched.filter("best").first()
+    return Setting(row["max_iter"], row["reg_param"])

@@ -64,7 +64,7 @@ FIXTURE_CTES: list[tuple[str, str]] = [
         SELECT anonymous_id, post_id, CAST(1 AS BIGINT) AS order_count, ts AS commission_date
         FROM fx_events WHERE event_type = 'purchase'"""),
     ("fx_sessions", """
-        SELECT 'anon-' || CAST(o_custkey AS VARCHAR) AS anonymous_id, o_totalprice * 0.04 AS total_commission,
+        SELECT 'anon-' || CAST(o_custkey // 10 AS VARCHAR) AS anonymous_id, o_totalprice * 0.04 AS total_commission,
                o_orderdate AS session_start_at
         FROM orders"""),
     ("fx_posts", """

@@ -68,6 +68,9 @@ class RunParams:
     grace_hours: int = EXPIRY_GRACE_HOURS
     local_tz: str = LOCAL_TZ
     sample_users: int = SAMPLE_USERS
+    grid_iterations: tuple[int, ...] = GRID_ITERATIONS
+    grid_penalties: tuple[float, ...] = GRID_PENALTIES
+    grid_folds: int = GRID_FOLDS
     vocabulary_size: int = VOCABULARY_SIZE
     seeds_per_user: int = SEEDS_PER_USER
     content_candidates: int = CONTENT_CANDIDATES

@@ -177,12 +177,15 @@ def q_explain_recs(s, d):
 
 
 def q_hybrid_recs_als(s, d):
-    return _run(s, d).recs_with_factors()
+    return _run(s, d).factor_recs
 
 
 def q_als_grid_search(s, d):
-    r = _run(s, d)
-    return rating.als_grid_search(r.rated_all, seed=DEFAULT.split_seed)
+    return _run(s, d).searched
+
+
+def q_factor_rmse(s, d):
+    return _run(s, d).factor_rmse()
 
 
 def q_seed_log(s, d):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import feed, hybrid, identity, implicit, interactions, posts, rating, similarity, tfidf
 from ..params import (DEFAULT, FEED_LABEL_HOSTED, FEED_LABEL_IN_HOUSE, GROUP_HOSTED, GROUP_IN_HOUSE,
                       OUTBOUND_POST_TYPE_HOSTED, OUTBOUND_POST_TYPE_IN_HOUSE, RunParams)
-from ..session import materialize
+from ..session import drop_step_tables, materialize, step_tables
 from ..sources import fixtures as fx
 
 
@@ -61,13 +61,19 @@ class DailyRun:
     # --- initial set-up ---------------------------------------------------------------------------
     @cached_property
     def identity_all(self) -> DataFrame:
-        return materialize(identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern), "cim_data")
+        return identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern)
 
     @cached_property
     def eligible(self) -> DataFrame:
         e = identity.eligible_cohort(fx.email_engagement(self.spark, self.d), fx.sessions(self.spark, self.d),
-                                     self.identity_all, self.orders_as_of, self.p.lookback_days)
-        return e.withColumn("total_commission", F.round("total_commission", 6))
+                                     self.alias, self.orders_as_of, self.p.lookback_days)
+        return materialize(e.withColumn("total_commission", F.round("total_commission", 6)))
+
+    @cached_property
+    def identity_setup(self) -> DataFrame:
+        """The set-up's alias map: eligible users only, so groups, seed history and ratings are theirs."""
+        return materialize(identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern,
+                                                 cohort=self.eligible.select("cim_id").distinct()))
 
     def _activity(self, ident: DataFrame, prefilter: bool = False):
         lb = self.p.lookback_days
@@ -79,11 +85,11 @@ class DailyRun:
 
     @cached_property
     def activity_all(self):
-        return self._activity(self.identity_all)
+        return self._activity(self.identity_setup)
 
     @cached_property
     def groups(self) -> DataFrame:
-        return materialize(interactions.sample_groups(self.activity_all[0], self.p.sample_users), "rec_group_df")
+        return materialize(interactions.sample_groups(self.activity_all[0], self.p.sample_users))
 
     @cached_property
     def seed_init(self) -> DataFrame:
@@ -94,13 +100,13 @@ class DailyRun:
         """groups_interactions_setup: the cohort's rated pairs with their group."""
         v, c, o = self.activity_all
         rated = interactions.rated_interactions(v, c, o, self.groups, self.seed_init)
-        return materialize(interactions.cohort_interactions(rated, self.groups), "setup")
+        return materialize(interactions.cohort_interactions(rated, self.groups))
 
     # --- daily tables -----------------------------------------------------------------------------
     @cached_property
     def identity(self) -> DataFrame:
         return materialize(identity.identity_map(self.alias, self.alias_type, self.p.employee_pattern,
-                                                 cohort=self.cohort.select("cim_id")), "cim_data_daily")
+                                                 cohort=self.cohort.select("cim_id")))
 
     @property
     def cohort(self) -> DataFrame:
@@ -124,8 +130,7 @@ class DailyRun:
     def interactions(self) -> DataFrame:
         v, c, o = self.activity
         return materialize(
-            interactions.rated_interactions(v, c, o, self.cohort, self.seed_log),
-            "interactions_daily")
+            interactions.rated_interactions(v, c, o, self.cohort, self.seed_log))
 
     @cached_property
     def expiry(self) -> DataFrame:
@@ -133,8 +138,7 @@ class DailyRun:
 
     @cached_property
     def base(self) -> DataFrame:
-        return materialize(posts.post_base(self.posts, self.expiry, self.interactions, self.as_of, self.p.local_tz),
-                           "post_meta_02")
+        return materialize(posts.post_base(self.posts, self.expiry, self.interactions, self.as_of, self.p.local_tz))
 
     @cached_property
     def post_versions(self) -> DataFrame:
@@ -156,7 +160,7 @@ class DailyRun:
 
     @cached_property
     def meta(self) -> DataFrame:
-        return materialize(posts.post_meta(self.base, self.permalink, self.content, self.categories), "rec_post_meta")
+        return materialize(posts.post_meta(self.base, self.permalink, self.content, self.categories))
 
     # --- text features ----------------------------------------------------------------------------
     @cached_property
@@ -165,7 +169,7 @@ class DailyRun:
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return materialize(tfidf.doc_tokens(self.meta_text, self.spark, self.p.extra_stop_words), "tokens")
+        return materialize(tfidf.doc_tokens(self.meta_text, self.spark, self.p.extra_stop_words))
 
     @cached_property
     def vocab(self) -> DataFrame:
@@ -176,17 +180,17 @@ class DailyRun:
         n_docs = self.meta.select(F.count(F.lit(1))).scalar()
         w = tfidf.tfidf(self.tokens, self.vocab, n_docs)
         # Carry the expiry flag (one value per post) so the candidate side is a filter, not a join.
-        return materialize(w.join(self.meta.select("post_id", "is_expired"), "post_id", "left"), "tfidf")
+        return materialize(w.join(self.meta.select("post_id", "is_expired"), "post_id", "left"))
 
     @cached_property
     def count_weights(self) -> DataFrame:
-        return materialize(tfidf.count_weights(self.tokens, self.vocab), "count_weights")
+        return materialize(tfidf.count_weights(self.tokens, self.vocab))
 
     # --- hybrid recommender -----------------------------------------------------------------------
     @cached_property
     def rated_all(self) -> DataFrame:
         """All groups' interactions with posts in the metadata (the model trains on every group)."""
-        return materialize(hybrid.group_interactions(self.interactions, self.meta, None), "rated_all")
+        return materialize(hybrid.group_interactions(self.interactions, self.meta, None))
 
     @cached_property
     def house(self) -> DataFrame:
@@ -194,7 +198,7 @@ class DailyRun:
 
     @cached_property
     def seeds(self) -> DataFrame:
-        return materialize(hybrid.user_seeds(self.house, self.p.seeds_per_user), "seeds")
+        return materialize(hybrid.user_seeds(self.house, self.p.seeds_per_user))
 
     @property
     def seed_bound_rows(self) -> int:
@@ -219,7 +223,7 @@ class DailyRun:
     def split(self) -> DataFrame:
         """ML12: the exact train/test split of all rated pairs (used by fit, score and RMSE)."""
         return materialize(rating.holdout_split(self.rated_all.select("cim_id", "post_id", "post_rating"),
-                                                self.p.train_fraction, self.p.split_seed), "holdout_split")
+                                                self.p.train_fraction, self.p.split_seed))
 
     @cached_property
     def bias(self) -> rating.BiasModel:
@@ -231,12 +235,26 @@ class DailyRun:
 
     @cached_property
     def recs(self) -> DataFrame:
-        return materialize(self._hybrid(lambda df: rating.predict_bias(df, self.bias)), "recs")
+        return materialize(self._hybrid(lambda df: rating.predict_bias(df, self.bias)))
 
-    def recs_with_factors(self, **als_args) -> DataFrame:
-        model = rating.fit_factors(self.rated_all, self.p.lambda_item, self.p.lambda_user, seed=self.p.split_seed,
-                                   **als_args)
-        return self._hybrid(lambda df: rating.predict_factors(df, model))
+    @cached_property
+    def searched(self) -> DataFrame:
+        """ML11: the grid scored by cross-validation on the 85 % part."""
+        return rating.als_grid_search(self.split.filter(F.col("part") == "train"), self.p.grid_iterations,
+                                      self.p.grid_penalties, self.p.grid_folds, seed=self.p.split_seed,
+                                      lambda_item=self.p.lambda_item, lambda_user=self.p.lambda_user)
+
+    def factor_rmse(self) -> DataFrame:
+        return rating.factor_rmse(self.split, rating.best_setting(self.searched), self.p.lambda_item,
+                                  self.p.lambda_user, seed=self.p.split_seed)
+
+    @cached_property
+    def factor_recs(self) -> DataFrame:
+        """The daily job's recommendations: refit on all ratings with the searched setting."""
+        best = rating.best_setting(self.searched)
+        model = rating.fit_factors(self.rated_all, self.p.lambda_item, self.p.lambda_user, max_iter=best.max_iter,
+                                   reg=best.reg, seed=self.p.split_seed)
+        return materialize(self._hybrid(lambda df: rating.predict_factors(df, model)))
 
     # --- production and feeds ---------------------------------------------------------------------
     def subscribers_for(self, staging: DataFrame, active_only: bool) -> DataFrame:
@@ -255,11 +273,11 @@ class DailyRun:
     @cached_property
     def production(self) -> DataFrame:
         return materialize(feed.production_batch(self.recs, self.subscribers_for(self.recs, True), self.images,
-                                                 self.titles, self.as_of, self.p.local_tz), "daily_rec_production")
+                                                 self.titles, self.as_of, self.p.local_tz))
 
     @cached_property
     def current_feed(self) -> DataFrame:
-        return materialize(feed.current_feed(self.production, FEED_LABEL_IN_HOUSE), "final_daily_rec_production")
+        return materialize(feed.current_feed(self.production, FEED_LABEL_IN_HOUSE))
 
     @cached_property
     def outbound(self) -> DataFrame:
@@ -278,7 +296,7 @@ class DailyRun:
     @cached_property
     def hosted_recs(self) -> DataFrame:
         return materialize(implicit.implicit_recs(self.event_export, self.meta, self.p.implicit_weights,
-                                                  self.p.hosted_recs, seed=self.p.split_seed), "hosted_recs")
+                                                  self.p.hosted_recs, seed=self.p.split_seed))
 
     def implicit_recs(self) -> DataFrame:
         return self.hosted_recs
@@ -287,12 +305,11 @@ class DailyRun:
     def hosted_production(self) -> DataFrame:
         """P22 for the hosted group: any subscriber status counts when finding the newest."""
         return materialize(feed.production_batch(self.hosted_recs, self.subscribers_for(self.hosted_recs, False),
-                                                 self.images, self.titles, self.as_of, self.p.local_tz),
-                           "hosted_rec_production")
+                                                 self.images, self.titles, self.as_of, self.p.local_tz))
 
     @cached_property
     def hosted_current_feed(self) -> DataFrame:
-        return materialize(feed.current_feed(self.hosted_production, FEED_LABEL_HOSTED), "hosted_final_feed")
+        return materialize(feed.current_feed(self.hosted_production, FEED_LABEL_HOSTED))
 
     @cached_property
     def hosted_outbound(self) -> DataFrame:
@@ -342,6 +359,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     from ..schemas import HOSTED_STAGING, STAGING
     from ..sources import io
 
+    steps_before = step_tables()
     base_dir = out_dir.rstrip("/")
     as_of = fx.as_of(spark, sf_dir)
     history = _history_before(spark, f"{base_dir}/post_prev_rec", as_of)
@@ -357,7 +375,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     run.__dict__["meta"] = spark.read.parquet(paths["rec_post_meta"])
 
     # In-house path: staging CSV -> production history -> current feed -> outbound CSV.
-    io.write_csv(run.recs.select(*STAGING_COLUMNS), paths["daily_rec_staging_csv"], order_by=["cim_id", "post_order"])
+    io.write_csv(run.factor_recs.select(*STAGING_COLUMNS), paths["daily_rec_staging_csv"], order_by=["cim_id", "post_order"])
     staging = io.read_csv(spark, paths["daily_rec_staging_csv"], STAGING)
     io.append_seed_log(hybrid.seed_log_rows(run.seeds), paths["post_prev_rec"], run.as_of)
     batch = feed.production_batch(staging, run.subscribers_for(staging, True), run.images, run.titles, run.as_of,
@@ -385,4 +403,5 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
                               params.cdn_marker, params.cdn_prefix, params.max_broadcast_rows)
     io.write_csv(hout.drop("last_used_datetime"), paths["hosted_outbound_feed_csv"],
                  order_by=["email", "subscriber_id", "position"])
+    drop_step_tables(spark, steps_before)
     return paths

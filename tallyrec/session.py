@@ -12,6 +12,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+_STEP_PATHS: list[str] = []  # step tables of this process, newest last
+
+
 def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "tallyrec") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -52,13 +55,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tallyrec-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str = ""):
-    """Cut lineage at a step boundary: a reliable checkpoint in the shared checkpoint folder.
+def materialize(df):
+    """Cut lineage at a step boundary: a Parquet table in the shared checkpoint folder, read back.
 
     The original jobs hand persistent tables from step to step; this plays the
     same role, keeps later plans small, and survives the loss of executors
-    (unlike ``localCheckpoint``).  The output partitioning is preserved, so a
-    later join on the same keys needs no new shuffle.
+    (unlike ``localCheckpoint``).  Later steps read only the columns they use
+    and push their filters into the scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    _STEP_PATHS.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def step_tables() -> int:
+    """How many step tables this process has written and not yet dropped."""
+    return len(_STEP_PATHS)
+
+
+def drop_step_tables(spark: SparkSession, since: int = 0) -> None:
+    """Delete the step tables written after the first ``since`` ones (see ``step_tables``)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    while len(_STEP_PATHS) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_STEP_PATHS.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -169,9 +169,10 @@ def commission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One session per order; ten customers share one of the event users, who are a tenth of the customers."""
     o = raw(spark, sf_dir, "orders")
     return o.select(
-        F.concat(F.lit("anon-"), F.col("o_custkey").cast("string")).alias("anonymous_id"),
+        F.concat(F.lit("anon-"), F.expr("o_custkey div 10").cast("string")).alias("anonymous_id"),
         (F.col("o_totalprice") * F.lit(0.04)).alias("total_commission"),
         F.col("o_orderdate").alias("session_start_at"),
     )

@@ -2,7 +2,9 @@
 replaces its own rows (seed history, production history) instead of doubling them."""
 
 import os
+from dataclasses import replace
 
+from tallyrec.params import DEFAULT
 from tallyrec.plans.daily import run_daily, run_initial_setup
 from tallyrec.session import scratch_path
 
@@ -11,14 +13,19 @@ from conftest import SMALL
 
 def test_setup_then_daily_is_idempotent(spark):
     out = scratch_path(spark, "daily")
-    run_initial_setup(spark, SMALL, out)
-    paths = run_daily(spark, SMALL, out)
-    recs1 = sorted(map(tuple, spark.read.csv(paths["daily_rec_staging_csv"], header=True).collect()))
+    params = replace(DEFAULT, grid_iterations=(5, 10))  # the whole grid runs in test_models_brute_force
+
+    def recommended(path):
+        return sorted(map(tuple, spark.read.csv(path, header=True).select("cim_id", "post_id").collect()))
+
+    run_initial_setup(spark, SMALL, out, params)
+    paths = run_daily(spark, SMALL, out, params)
+    recs1 = recommended(paths["daily_rec_staging_csv"])
     hist1 = spark.read.parquet(paths["post_prev_rec"])
     days = hist1.select("send_date").distinct().count()
     n1 = hist1.count()
-    run_daily(spark, SMALL, out)
-    recs2 = sorted(map(tuple, spark.read.csv(paths["daily_rec_staging_csv"], header=True).collect()))
+    run_daily(spark, SMALL, out, params)
+    recs2 = recommended(paths["daily_rec_staging_csv"])
     hist2 = spark.read.parquet(paths["post_prev_rec"])
     assert days == 2 and hist2.count() == n1 > 0       # day one + the run date, not doubled
     assert recs1 == recs2 and len(recs1) > 0           # the re-run sees the same history

@@ -15,7 +15,7 @@ def test_no_python_udfs(run):
 
 def test_event_scan_pushdown_and_preaggregation(spark, run):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # print whole filter lists
-    v = run._activity(run.identity_all)[0]
+    v = run._activity(run.identity_setup)[0]
     p = _plan(v)
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(event_id), IsNotNull(ts), EqualTo(event_type,view)" in p
     assert "GreaterThanOrEqual(ts," in p
