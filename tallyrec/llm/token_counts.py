@@ -5,7 +5,8 @@ Every document's pre-tokens stand in a segment tree: a leaf is a block of up to
 two children.  An edit re-encodes from a boundary before its first character (far
 enough back that no earlier pre-token can have looked at it) until the new
 boundaries meet an old one behind its last character; the leaves between get the new
-pre-tokens and the sums on their paths to the root are renewed.
+pre-tokens and the sums on their paths to the root are renewed.  The documents of a slice go through
+their edits side by side, so that the new pre-tokens of a round are encoded together.
 """
 
 from __future__ import annotations
@@ -23,14 +24,19 @@ LOOK = 3  # a pre-token's end depends on at most two characters behind it (the c
 class CountTree:
     """Pre-token counts of one text."""
 
-    def __init__(self, c: Codec, text: str, counts, block: int = 32):
+    def __init__(self, c: Codec, text: str, counts, block: int = 32, tokens: list[str] | None = None):
         self.c, self.text, self.block, self.counts = c, text, block, counts
         self.reencoded = 0
-        self._build(c.pre_tokens(text))
+        self.marked = self._has_marks(text)
+        tokens = c.pre_tokens(text) if tokens is None else tokens
+        self._build(tokens, counts(tokens))
 
-    def _build(self, tokens: list[str]) -> None:
-        got, b = self.counts(tokens), self.block
-        self.leaves = [(list(map(len, tokens[i:i + b])), got[i:i + b]) for i in range(0, len(tokens), b)] or [([], [])]
+    def _has_marks(self, text: str) -> bool:
+        return any(s in text for s in self.c.v.special)
+
+    def _build(self, tokens: list[str], got: list[int]) -> None:
+        lens, b = list(map(len, tokens)), self.block
+        self.leaves = [(lens[i:i + b], got[i:i + b]) for i in range(0, len(tokens), b)] or [([], [])]
         self.size = 1 << (len(self.leaves) - 1).bit_length()
         self.chars = np.zeros(2 * self.size, np.int64)
         self.tokens = np.zeros(2 * self.size, np.int64)
@@ -68,15 +74,21 @@ class CountTree:
 
     def edit(self, start: int, stop: int, new: str) -> None:
         """Replace characters [start, stop) by ``new``; bounds beyond the text are cut to it."""
+        self.close(self.counts(self.open(start, stop, new)))
+
+    def open(self, start: int, stop: int, new: str) -> list[str]:
+        """First half of an edit: the pre-tokens that it makes; ``close`` takes their counts.
+
+        Many trees can so have their new pre-tokens encoded together.
+        """
         start = min(max(start, 0), len(self.text))
         stop = min(max(stop, start), len(self.text))
-        before, self.text = self.text, self.text[:start] + new + self.text[stop:]
-        marks = self.c.v.special
-        if any(s in before or s in self.text for s in marks):
+        self.text = self.text[:start] + new + self.text[stop:]
+        marked, self.marked = self.marked, self._has_marks(self.text)
+        if marked or self.marked:
             # a special token cuts the text before pre-tokens are found: such a text is encoded anew as a whole
-            self.reencoded += len(self.text)
-            self._build(self.c.pre_tokens(self.text))
-            return
+            self.pending = None, self.c.pre_tokens(self.text)
+            return self.pending[1]
         shift = len(new) - (stop - start)
         first, begin = self._leaf(max(start - LOOK, 0))
         lens, toks = self.leaves[first]
@@ -107,8 +119,17 @@ class CountTree:
                 break
         if met is None:
             met = (len(self.leaves), 0)
-        got = self.counts(fresh)
+        self.pending = (first, lens, toks, met), fresh
+        return fresh
+
+    def close(self, got: list[int]) -> None:
+        """Second half of an edit: the counts of the pre-tokens that ``open`` gave."""
+        place, fresh = self.pending
         self.reencoded += sum(map(len, fresh))
+        if place is None:
+            self._build(fresh, got)
+            return
+        first, lens, toks, met = place
         lens, toks = lens + list(map(len, fresh)), toks + got
         leaf, inside = met
         if leaf < len(self.leaves):
@@ -134,35 +155,36 @@ def edited_counts(docs: DataFrame, vocabulary_path: str, block: int = 32) -> Dat
     def make():
         c = codec(shared.value, "count")
 
+        special = c.v.special
+
+        def learn(lists):
+            known = set()
+            for x in lists:
+                known.update(x)
+            c.learn(known.difference(special), len)
+
         def counts(tokens):
-            c.learn({t for t in tokens if t not in c.v.special}, len)
-            return [1 if t in c.v.special else c.words[t] for t in tokens]
+            try:
+                return list(map(c.words.__getitem__, tokens))
+            except KeyError:  # special tokens are not in the cache
+                return [1 if t in special else c.words[t] for t in tokens]
 
         def run(doc_ids, texts, edits):
             c.words.trim()
-            known = set()
-            for t in texts:  # all pre-tokens of the slice are encoded together; the trees then look them up
-                if t:
-                    known.update(c.pre_tokens(t))
-            c.learn({t for t in known if t not in c.v.special}, len)
-            get, special = c.words.__getitem__, c.v.special
-
-            def quick(tokens):
-                try:
-                    return [get(t) for t in tokens]
-                except KeyError:
-                    return counts(tokens)
-
-            out = [[], [], [], [], []]
-            for doc, t, e in zip(doc_ids, texts, edits, strict=True):
-                tree = CountTree(c, t or "", quick, block)
-                row = [doc, tree.total, sum(len(x[0]) for x in tree.leaves)]
-                for x in e or []:
-                    if x is not None:
-                        tree.edit(x["start"] or 0, x["stop"] or 0, x["new"] or "")
-                for col, value in zip(out, row + [tree.total, tree.reencoded], strict=True):
-                    col.append(value)
-            return out
+            lists = [c.pre_tokens(t) if t else [] for t in texts]
+            learn(lists)  # all pre-tokens of the slice are encoded together; the trees then look them up
+            trees = [CountTree(c, t or "", counts, block, x) for t, x in zip(texts, lists, strict=True)]
+            out = [doc_ids, [tree.total for tree in trees], list(map(len, lists))]
+            todo = [(tree, [x for x in e if x is not None]) for tree, e in zip(trees, edits, strict=True) if e]
+            at = 0
+            while todo := [(tree, e) for tree, e in todo if len(e) > at]:  # the next edit of every document
+                fresh = [tree.open(e[at]["start"] or 0, e[at]["stop"] or 0, e[at]["new"] or "") for tree, e in todo]
+                c.words.trim()
+                learn(fresh)
+                for (tree, _), x in zip(todo, fresh, strict=True):
+                    tree.close(counts(x))
+                at += 1
+            return out + [[tree.total for tree in trees], [tree.reencoded for tree in trees]]
 
         return run
 
