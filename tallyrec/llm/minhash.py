@@ -9,9 +9,10 @@ enough are confirmed on the full sets.
 
 Lists may be long (a large group of near copies).  So first each list is dealt into blocks and every member is
 compared with its block's leader, which joins such groups; then lists whose members are still in
-several components are compared in full, block against block, inside the tasks: first only each member's best
-partner of another component comes out, as long as that joins any, and at last every pair that agrees enough.  So no link between different texts is left out by the size of a list, and no list is expanded
-into all its pairs.
+several components are compared in full, block against block, inside the tasks.  What comes out is one row a
+member of two blocks with its partners, never a row a pair; it meets the member's text once, and the task that has all texts
+of the two blocks confirms the pairs there, best first, leaving out those that its links have joined already.
+So no link that joins anything is left out by the size of a list, and no list is expanded into all its pairs.
 
 At similarity 0.75 the number of agreeing coordinates is binomial (64, 0.75): the threshold 36 misses
 3 pairs in 10,000 there, and fewer above.  Null texts count as empty; empty texts and texts of blanks have an empty set and link
@@ -31,6 +32,7 @@ from tallyrec.llm.components import components
 
 SHINGLE, COORDINATES, MATCHES = 5, 64, 36
 LEADERS, BLOCK = 64, 1024  # members of a leader's block; members of a block compared in full
+BLOCK_SHINGLES = 1 << 21  # shingles of such a block, so that a task can hold the sets of two (32 MB)
 _random = np.random.default_rng(20070)
 FACTOR = _random.integers(1 << 62, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFT = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -146,18 +148,19 @@ def leader_pairs(posts: DataFrame, seed: int) -> DataFrame:
     return met.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct()
 
 
-def full_pairs(posts: DataFrame, signed: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
-    """Pairs of different components in one list that agree in MATCHES coordinates and may be similar by size.
+def partners(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
+    """(g, id, component, other, agree): members of two blocks with those of other components in them that agree in
+    MATCHES coordinates and may be similar by size; members that are only named by others have no partners.
 
-    Lists with one component left are done.  The others are dealt into blocks of about BLOCK; a task compares two blocks.
-    A pair comes out of the first list only in which both are posted.  ``best``: only the pairs that agree most for
-    either member in the two blocks.
+    Lists with one component left are done.  The others are dealt into blocks of about BLOCK members or BLOCK_SHINGLES
+    shingles; a task compares two blocks.  A pair comes out of the first list only in which both are posted.
     """
-    named = posts.select("key", "id", "mask").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-             .where("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    named = (posts.select("key", "id", "mask").join(labels, "id", "left")
+             .withColumn("component", F.coalesce("component", "id")).join(signed, "id"))
+    open_ = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"),
+                                      F.sum("n_shingles").alias("load")).where("lo < hi")
+             .select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("load") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
     named = named.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    named = named.join(signed, "id")
     i = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
     dealt = named.withColumn("at", i).select(
@@ -166,32 +169,35 @@ def full_pairs(posts: DataFrame, signed: DataFrame, labels: DataFrame, best: boo
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "g").sortWithinPartitions("g", "block", "id")
 
-    def compare(g) -> tuple[list, list]:
-        ids, comp, block, size, sig, mask, coordinate = g
+    def compare(g):
+        _, ids, comp, block, size, sig, mask, coordinate = g
         posted = (mask[:, None] >> np.arange(COORDINATES) & 1).astype(bool)
         x, y = np.flatnonzero(block == block[0]), np.flatnonzero(block == block[-1])
-        out_a, out_b = [], []
+        found = []
         for s in range(0, len(x), 64):
             rows = x[s:s + 64]
             agree = np.zeros((len(rows), len(y)), np.int16)
             for k in range(COORDINATES):
                 agree += sig[rows, k][:, None] == sig[y, k][None, :]
-            good = (agree >= MATCHES) & (comp[rows][:, None] != comp[y][None, :]) & (ids[rows][:, None] != ids[y][None, :])
+            good = (agree >= MATCHES) & (comp[rows][:, None] != comp[y][None, :])
+            if block[0] == block[-1]:
+                good &= rows[:, None] < y[None, :]  # one block with itself: each pair once
             good &= 100 * np.minimum(size[rows][:, None], size[y][None, :]) >= 75 * np.maximum(size[rows][:, None], size[y][None, :])
-            if best:
-                agree = np.where(good, agree, 0)
-                top = np.zeros_like(good)
-                top[np.arange(len(rows)), agree.argmax(1)] = True
-                top[agree.argmax(0), np.arange(len(y))] = True
-                good &= top
             r, c = np.nonzero(good)
-            for b in range(0, max(len(r), 1), 20_000):
-                p, q = rows[r[b:b + 20_000]], y[c[b:b + 20_000]]
+            for b in range(0, len(r), 20_000):
+                p, q, like = rows[r[b:b + 20_000]], y[c[b:b + 20_000]], agree[r[b:b + 20_000], c[b:b + 20_000]]
                 both = (sig[p] == sig[q]) & posted[p] & posted[q]
-                first = (both.argmax(1) == coordinate[0]) | best
-                out_a.append(np.minimum(ids[p[first]], ids[q[first]]))
-                out_b.append(np.maximum(ids[p[first]], ids[q[first]]))
-        return np.concatenate(out_a), np.concatenate(out_b)
+                first = both.argmax(1) == coordinate[0]
+                found.append(np.stack([p[first], q[first], like[first]]))
+        if not found:
+            return None
+        p, q, like = np.concatenate(found, axis=1)
+        order = np.argsort(p, kind="stable")
+        p, q, like = p[order], q[order], like[order]
+        rows = np.union1d(p, q)
+        cut = np.concatenate([np.searchsorted(p, rows), [len(p)]]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(cut, pa.array(v)) for v in (ids[q], like.astype(np.int16))]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (g[0][rows], ids[rows], comp[rows])] + lists, names=["g", "id", "component", "other", "agree"])
 
     def columns(batch):
         sig = batch.column(5)
@@ -199,26 +205,88 @@ def full_pairs(posts: DataFrame, signed: DataFrame, labels: DataFrame, best: boo
         return [batch.column(i).to_numpy() for i in range(5)] + [flat_sig] + [batch.column(i).to_numpy() for i in (6, 7)]
 
     def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = columns(batch)
-            if held is not None:
-                now = [np.concatenate([h, c]) for h, c in zip(held, now, strict=True)]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(now[0])) + 1])
-            yield from pairs(now, cuts[:-1], cuts[1:])
-            held = [c[cuts[-1]:] for c in now]
+        for group in groups(batches, columns):
+            got = compare(group) if len(group[0]) > 1 else None
+            if got is not None:
+                yield got
+
+    return dealt.mapInArrow(run, "g long, id long, component long, other array<long>, agree array<short>")
+
+
+def groups(batches, columns):
+    """The rows of each value of the first column, as arrays, of batches sorted by it."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = columns(batch)
         if held is not None:
-            yield from pairs(held, [0], [len(held[0])])
+            now = [np.concatenate([h, c]) for h, c in zip(held, now, strict=True)]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(now[0])) + 1])
+        for b, e in zip(cuts[:-1], cuts[1:], strict=True):
+            yield [c[b:e] for c in now]
+        held = [c[cuts[-1]:] for c in now]
+    if held is not None:
+        yield held
 
-    def pairs(now, begins, ends):
-        found = [compare([c[b:e] for c in now[1:]]) for b, e in zip(begins, ends, strict=True) if e - b > 1]
-        if found:
-            a, b = (np.concatenate([f[k] for f in found]) for k in range(2))
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+def confirmed(met: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) among the partners of each g: the full sets have 100 * intersection >= 75 * union.
+
+    Pairs are tried from the most agreeing on; those whose components are joined by links of the same g already are left out,
+    as they join nothing.
+    """
+    n = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = met.join(texts, "id").select("g", "id", "component", "other", "agree", "text")
+    rows = rows.repartition(n, "g").sortWithinPartitions("g", "id")
+
+    def columns(batch):
+        # a text is turned into its set at once: what is held of a group are the sets
+        sets = np.empty(batch.num_rows, object)
+        done = 0
+        for texts_ in slices(batch.select(["text"]), 0, 1_000_000):
+            h, first = shingles(texts_[0])
+            for i in range(len(first) - 1):
+                sets[done + i] = np.unique(h[first[i]:first[i + 1]])
+            done += len(first) - 1
+        lists = [[x.values.to_numpy() for x in batch.column(i)] for i in (3, 4)]
+        return [batch.column(i).to_numpy() for i in range(3)] + [objects_of(v) for v in lists] + [sets]
+
+    def objects_of(values):
+        out = np.empty(len(values), object)
+        for i, v in enumerate(values):
+            out[i] = v
+        return out
+
+    def run(batches):
+        for _, ids, component, other, agree, sets in groups(batches, columns):
+            size = np.array([len(x) for x in other])
+            p = np.repeat(np.arange(len(ids)), size)
+            q = np.searchsorted(ids, np.concatenate(other).astype(np.int64))
+            top = dict.fromkeys(component.tolist())  # a joined component points to another one
+
+            def root(c):
+                while top[c] is not None:
+                    if top[top[c]] is not None:
+                        top[c] = top[top[c]]
+                    c = top[c]
+                return c
+
+            comp, out_a, out_b = component.tolist(), [], []
+            for k in np.argsort(-np.concatenate(agree).astype(np.int64), kind="stable").tolist():
+                i, j = int(p[k]), int(q[k])
+                x, y = root(comp[i]), root(comp[j])
+                if x == y:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+                    top[max(x, y)] = min(x, y)
+                    out_a.append(min(ids[i], ids[j]))
+                    out_b.append(max(ids[i], ids[j]))
+            if out_a:
+                yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -262,13 +330,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if seed:
             pairs = renamed(pairs).select("a", "b")
         labels = merged(stored(jaccard_links(near(pairs), texts), "minhash-links"))
-    more = True
-    while more:
-        links = stored(jaccard_links(full_pairs(posts, signed, labels, True), texts), "minhash-links")
-        more = bool(links.take(1))
-        if more:
-            labels = merged(links)
-    labels = merged(stored(jaccard_links(full_pairs(posts, signed, labels, False), texts), "minhash-links"))
+    labels = merged(stored(confirmed(partners(posts, signed, labels), texts), "minhash-links"))
     named = classes.join(labels, "id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     of_row = base.select("doc_id", "d1", "d2", "n_shingles").join(named, ["d1", "d2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
