@@ -14,8 +14,8 @@ member of two blocks with its partners, never a row a pair; it meets the member'
 of the two blocks confirms the pairs there, best first, leaving out those that its links have joined already.
 So no link that joins anything is left out by the size of a list, and no list is expanded into all its pairs.
 
-At similarity 0.75 the number of agreeing coordinates is binomial (64, 0.75): the threshold 36 misses
-3 pairs in 10,000 there, and fewer above.  Null texts count as empty; empty texts and texts of blanks have an empty set and link
+At similarity 0.75 the number of agreeing coordinates is binomial (64, 0.75): the threshold 30 misses
+4 pairs in 10 million there, and fewer above.  Null texts count as empty; empty texts and texts of blanks have an empty set and link
 with nothing.  Rows of one doc_id are one document, linked to itself only; null ids link with nothing and are their own component.
 """
 
@@ -30,7 +30,7 @@ from tallyrec.llm import flat
 from tallyrec.llm.common import map_slices, slices, stored
 from tallyrec.llm.components import components
 
-SHINGLE, COORDINATES, MATCHES = 5, 64, 36
+SHINGLE, COORDINATES, MATCHES = 5, 64, 30
 LEADERS, BLOCK = 64, 1024  # members of a leader's block; members of a block compared in full
 BLOCK_SHINGLES = 1 << 21  # shingles of such a block, so that a task can hold the sets of two (32 MB)
 _random = np.random.default_rng(20070)

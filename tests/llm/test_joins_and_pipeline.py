@@ -1,5 +1,6 @@
 """Near-duplicate operators against brute force, and the pipeline's stages."""
 
+import math
 import random
 
 import numpy as np
@@ -64,6 +65,20 @@ def test_minhash_by_brute_force(spark, seed, families, copies, monkeypatch):
     assert all(got[i]["kept"] == (want[i] == i) for i in got)
 
 
+def test_minhash_pairs_of_few_agreeing_coordinates(spark):
+    def pair(seed):  # 56 shingles each, 48 of them common: similarity exactly 0.75
+        rng = random.Random(seed)
+        words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+        return " ".join(words), " ".join(words[:52] + ["".join(rng.choice("klmnopq") for _ in range(6)) for _ in range(8)])
+
+    # these agree in 33 to 35 of 64 coordinates
+    texts = [t for seed in (991, 5803, 6161, 24485) for t in pair(seed)]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(8)}
+    miss = sum(math.comb(64, k) * 0.75 ** k * 0.25 ** (64 - k) for k in range(minhash.MATCHES))
+    assert minhash.COORDINATES == 64 and miss < 1e-6
+
+
 def test_minhash_odd_tables(spark):
     schema = "doc_id long, text string"
     assert minhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
