@@ -6,7 +6,8 @@ length of what else of s lies in the turned space.  For any unit y, <s, Ry> / c
 without bias, with an error of about sqrt(1 - <x, y>^2) * o / c / sqrt(dim - 1); a pair is recomputed in double
 precision unless even ``EPSILON`` such errors leave it below the threshold.
 
-Candidates meet in tables keyed by a few bits of the code.  The number of bits follows the number of vectors, so
+Candidates meet in tables keyed by the signs along a few random directions.  Every table has directions of its own, so
+tables are independent of each other.  The number of bits follows the number of vectors, so
 a table's usual bucket doesn't grow, and the number of tables follows from the bits so that a pair at the
 threshold meets somewhere but for one in a million.  A bucket of many vectors is cut into blocks that
 are compared pairwise in separate tasks.  A pair counts in the first table where it meets; tasks
@@ -30,7 +31,10 @@ from tallyrec.llm.components import components
 
 CODE_BITS, EPSILON, MISS, BUCKET, BLOCK = 256, 6.0, 1e-6, 16, 512
 
+GRID = 1 << 20  # steps in 1 of what table keys are computed from
+
 _turns: dict[int, np.ndarray] = {}
+_directions: dict[tuple[int, int, int], np.ndarray] = {}
 
 
 def rotations(dim: int) -> np.ndarray:
@@ -55,12 +59,24 @@ def tables(n: int, threshold: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISS) / math.log(1 - same ** bits))
 
 
-def places(bits: int, count: int, length: int) -> np.ndarray:
-    """length x count weights: column t gives table t's key of a row of code bits."""
-    rng = np.random.default_rng(77)
-    out = np.zeros((length, count))
-    for t in range(count):
-        out[rng.permutation(length)[:bits], t] = 2.0 ** np.arange(bits)
+def directions(dim: int, bits: int, count: int) -> np.ndarray:
+    """dim x (count * bits) normal directions, ``bits`` a table, as whole numbers of 1 / GRID."""
+    if (dim, bits, count) not in _directions:
+        rng = np.random.default_rng(77_000_003 + dim)
+        _directions[dim, bits, count] = np.rint(rng.normal(size=(count * bits, dim)).T * GRID)
+    return _directions[dim, bits, count]
+
+
+def table_keys(x: np.ndarray, bits: int, count: int, first: int | None = None) -> np.ndarray:
+    """Key of each row of the unit vectors x in each of the ``first`` tables (or all).
+
+    Products and sums are whole numbers below 2^53, so a vector has the same keys in whatever matrix it stands.
+    """
+    turn = directions(x.shape[1], bits, count)[:, :bits * (count if first is None else first)]
+    out = np.zeros((len(x), turn.shape[1] // bits), np.int64)
+    for b in range(0, len(x), 1024):
+        sign = np.rint(x[b:b + 1024] * GRID) @ turn >= 0
+        out[b:b + 1024] = sign.reshape(len(sign), -1, bits) @ (1 << np.arange(bits))
     return out
 
 
@@ -78,13 +94,14 @@ def codes(classes: DataFrame, bits: int, count: int) -> DataFrame:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 turn = rotations(int(dim))
-                x = unit(_matrix(part.column(2))) @ turn
+                x = unit(_matrix(part.column(2)))
+                keys = table_keys(x, bits, count)
+                x = x @ turn
                 sign = x >= 0
                 s = np.where(sign, 1.0, -1.0) / math.sqrt(x.shape[1])
                 c = (s * x).sum(1)
                 inside = s @ turn.T  # of the sign vector, in the space of the vectors
                 o = np.sqrt(np.maximum((inside * inside).sum(1) - c * c, 0))
-                keys = (sign @ places(bits, count, x.shape[1])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array(np.full(len(x), dim, np.int32)), part.column(2),
                     pa.array([row.tobytes() for row in np.packbits(sign, axis=1)], pa.binary()),
@@ -122,7 +139,9 @@ class Group:
         if not len(i):
             return None
         if table:
-            keys = sign.astype(np.float64) @ places(self.bits, self.count, turned.shape[1])[:, :table]
+            keys = np.zeros((len(x), table), np.int64)
+            some = np.union1d(i, j)
+            keys[some] = table_keys(x[some], self.bits, self.count, table)
             met = np.concatenate([(keys[i[b:b + 20_000]] == keys[j[b:b + 20_000]]).any(1) for b in range(0, len(i), 20_000)])
             i, j = i[~met], j[~met]
             if not len(i):

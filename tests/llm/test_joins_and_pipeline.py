@@ -137,6 +137,28 @@ def test_estimates_are_unbiased_and_bounded():
     assert 0.8 < (error / allowed).std() < 1.2 and np.abs(error / allowed).max() < embed_dedup.EPSILON
 
 
+def test_pairs_at_the_threshold_meet_in_a_table(spark):
+    rng = np.random.default_rng(8)
+    x, y = embed_dedup.unit(rng.normal(size=(10_000, 64))), rng.normal(size=(10_000, 64))
+    y = embed_dedup.unit(y - (x * y).sum(1, keepdims=True) * x)
+    pairs = np.stack([x, 0.95 * x + np.sqrt(1 - 0.95 ** 2) * y], axis=1).reshape(-1, 64)  # cosine 0.95
+    bits, count = embed_dedup.tables(10 ** 8, 0.95)
+    import pyarrow as pa
+
+    table = pa.table({"id": pa.array(range(len(pairs))), "weight": pa.array(np.ones(len(pairs), np.int64)), "embedding": pa.array(list(pairs), pa.list_(pa.float64()))})
+    got = embed_dedup.codes(spark.createDataFrame(table), bits, count).select("id", "keys").toArrow().sort_by("id")
+    keys = got["keys"].combine_chunks().flatten().to_numpy().reshape(-1, 2, count)
+    assert (~(keys[:, 0] == keys[:, 1]).any(1)).sum() == 0
+
+
+def test_table_keys_do_not_depend_on_the_matrix():
+    x = embed_dedup.unit(np.random.default_rng(2).normal(size=(3000, 64)))
+    bits, count = embed_dedup.tables(50_000, 0.95)
+    keys = embed_dedup.table_keys(x, bits, count)
+    assert (keys[7:9] == embed_dedup.table_keys(x[7:9], bits, count)).all()
+    assert (keys[1000:, :5] == embed_dedup.table_keys(x[1000:], bits, count, 5)).all()
+
+
 def test_embeddings_empty_and_equal(spark):
     schema = "vec_id long, embedding array<float>"
     assert embed_dedup.near_vectors(spark.createDataFrame([], schema)).count() == 0
