@@ -4,6 +4,9 @@ Terms are runs of three words (a shorter text is one term); every occurrence vot
 its frequency.  Each of the 128 bits of a term's hash votes up or down, and the sign of the sum is
 the fingerprint's bit.  All fingerprints within radius r of each other share at least one of r + 1
 blocks of bits: one table per block, keyed by it (the permutations of Manku, Jain and Das Sarma 2007).
+Copies with a changed word differ in some bits, fewer the longer the text is: ``RADIUS`` is the widest whose
+blocks (16 bits) keep buckets small.  Rows near a row are counted inside the tasks that compare two
+blocks of a bucket, so a group of copies gives one row a fingerprint and never its pairs.
 
 A null or empty text, or one of blanks alone, has no terms and the fingerprint 0.  Texts count whole.
 """
@@ -21,8 +24,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyrec.llm import flat
 from tallyrec.llm.common import stored
+from tallyrec.llm.minhash import groups
 
-BITS, TERM = 128, 3
+BITS, TERM, RADIUS = 128, 3, 7
+BLOCK = 2048  # fingerprints of a bucket's block
 LANE = np.uint64(0x0001000100010001)  # four 16-bit counters in a word
 LOWEST = -(1 << 63)
 
@@ -141,36 +146,106 @@ def with_next(docs: DataFrame, rows_per_bucket: int = 2000, max_buckets: int = 1
     return dealt.mapInArrow(run, schema)
 
 
-def near_fingerprints(fps: DataFrame, radius: int = 3, heavy: int = 256) -> DataFrame:
-    """All pairs a < b of distinct fingerprints (32 hex digits) at most ``radius`` bits apart.
+def posted(own: DataFrame, radius: int, heavy: int) -> DataFrame:
+    """(fp, t, k, many, k2, ...): each row of ``own`` (fp, ...) under its blocks; buckets of one are left out.
 
     One table per block of 128 / (radius + 1) bits.  In a bucket of more than ``heavy`` fingerprints the
     other bits are cut into radius + 1 blocks again, of which one must be equal too, so a
-    frequent block costs a longer key and not a larger join.  Null fingerprints are left out.
+    frequent block costs a longer key and not a larger join.
     """
     blocks = radius + 1
     if 32 % blocks:
         raise ValueError("radius + 1 must divide 32")
     width = 32 // blocks
-    own = stored(fps.where("fingerprint is not null").select("fingerprint").distinct(), "fingerprints")
-    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.substring("fingerprint", 1 + i * width, width).alias("k")) for i in range(blocks)])
-    posted = own.select(F.col("fingerprint").alias("fp"), F.explode(keys).alias("p")).select("fp", "p.t", "p.k")
-    crowd = posted.groupBy("t", "k").count().where(F.col("count") > 1).select("t", "k", (F.col("count") > heavy).alias("many"))
-    posted = posted.join(crowd, ["t", "k"])
+    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.substring("fp", 1 + i * width, width).alias("k")) for i in range(blocks)])
+    posts = own.select("*", F.explode(keys).alias("p")).select(*own.columns, "p.t", "p.k")
+    crowd = posts.groupBy("t", "k").count().where(F.col("count") > 1).select("t", "k", (F.col("count") > heavy).alias("many"))
+    posts = posts.join(crowd, ["t", "k"])
     rest = F.concat(F.expr(f"substring(fp, 1, t * {width})"), F.expr(f"substring(fp, 1 + (t + 1) * {width}, 32)"))
     part = (32 - width) // blocks
     longer = F.array(*[F.concat(F.lit(f"{i}:"), F.substring(rest, 1 + i * part, part if i < blocks - 1 else 32)) for i in range(blocks)])
-    posted = posted.select("fp", "t", "k", F.explode(F.when(F.col("many"), longer).otherwise(F.array(F.lit("")))).alias("k2"))
-    a, b = posted.withColumnRenamed("fp", "a"), posted.withColumnRenamed("fp", "b")
+    return posts.select(*own.columns, "t", "k", "many", F.explode(F.when(F.col("many"), longer).otherwise(F.array(F.lit("")))).alias("k2"))
+
+
+def near_fingerprints(fps: DataFrame, radius: int = 3, heavy: int = 256) -> DataFrame:
+    """All pairs a < b of distinct fingerprints (32 hex digits) at most ``radius`` bits apart.  Null fingerprints are left out."""
+    own = stored(fps.where("fingerprint is not null").select("fingerprint").distinct(), "fingerprints")
+    posts = posted(own.select(F.col("fingerprint").alias("fp")), radius, heavy).drop("many")
+    a, b = posts.withColumnRenamed("fp", "a"), posts.withColumnRenamed("fp", "b")
     word = lambda c, i: F.conv(F.substring(c, 1 + 8 * i, 8), 16, 10).cast("long")
     apart = sum((F.bit_count(word("a", i).bitwiseXOR(word("b", i))) for i in range(1, 4)), F.bit_count(word("a", 0).bitwiseXOR(word("b", 0))))
     return a.join(b, ["t", "k", "k2"]).where("a < b").where(apart <= radius).select("a", "b").distinct()
 
 
-def fingerprint_documents(docs: DataFrame, radius: int = 3) -> DataFrame:
-    """``with_next`` and n_near: how many other fingerprints of the table lie within the radius."""
+def near_counts(fps: DataFrame, radius: int = RADIUS, heavy: int = 256) -> DataFrame:
+    """fingerprint, n_near: for each distinct fingerprint, how many rows besides one of its own lie within ``radius`` bits.
+
+    A pair is counted in the first table where it meets.  Null fingerprints are left out.
+    """
+    own = fps.where("fingerprint is not null").groupBy(F.col("fingerprint").alias("fp")).agg(F.count("*").alias("weight"))
+    own = stored(own, "fingerprints")
+    posts = posted(own, radius, heavy)
+    place = ["t", "k", "k2"]
+    crowd = (posts.groupBy(*place).count().where(F.col("count") > 1)
+             .select(*place, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    posts = posts.join(crowd, place).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    two = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
+        F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
+    second = F.when(F.col("many"), F.substring_index("k2", ":", 1).cast("int")).otherwise(F.lit(-1))
+    rows = posts.withColumn("at", F.explode(two)).select(
+        F.xxhash64(*place, "at.i", "at.j").alias("g"), "block", "t", second.alias("second"), "weight",
+        (F.col("at.i") == F.col("at.j")).cast("int").alias("within"), "fp")
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "g").sortWithinPartitions("g", "block", "fp")
+    width = 32 // (radius + 1)
+    part = (32 - width) // (radius + 1)
+
+    def columns(batch):
+        digits = np.frombuffer("".join(batch.column(6).to_pylist()).encode(), np.uint8).reshape(-1, 32)
+        return [batch.column(i).to_numpy() for i in range(6)] + [digits]
+
+    def compare(g):
+        _, block, t, second, weight, within, digits = g
+        t, second = int(t[0]), int(second[0])
+        fp = np.frombuffer(bytes.fromhex(digits.tobytes().decode()), np.uint64).reshape(-1, 2)
+        x, y = np.flatnonzero(block == block[0]), np.flatnonzero(block == block[-1])
+        count = np.zeros(len(fp), np.int64)
+        for s in range(0, len(x), 256):
+            rows = x[s:s + 256]
+            near = np.bitwise_count(fp[rows, 0][:, None] ^ fp[y, 0]) + np.bitwise_count(fp[rows, 1][:, None] ^ fp[y, 1]) <= radius
+            if within[0]:
+                near &= rows[:, None] < y[None, :]
+            r, c = np.nonzero(near)
+            for b in range(0, len(r), 50_000):
+                p, q = rows[r[b:b + 50_000]], y[c[b:b + 50_000]]
+                same = digits[p] == digits[q]
+                new = np.ones(len(p), bool)
+                for i in range(t):
+                    new &= ~same[:, i * width:(i + 1) * width].all(1)
+                rest = np.delete(same, np.s_[t * width:(t + 1) * width], axis=1)
+                for i in range(second):
+                    new &= ~rest[:, i * part:(i + 1) * part].all(1)
+                np.add.at(count, p[new], weight[q[new]])
+                np.add.at(count, q[new], weight[p[new]])
+        return count
+
+    def run(batches):
+        for group in groups(batches, columns):
+            if len(group[0]) > 1 and (group[5][0] or group[1][0] != group[1][-1]):  # a block may be empty
+                count = compare(group)
+                has = np.flatnonzero(count)
+                if len(has):
+                    names = [bytes(d).decode() for d in group[6][has]]
+                    yield pa.RecordBatch.from_pydict({"fp": pa.array(names, pa.string()), "n": pa.array(count[has], pa.int64())})
+
+    found = rows.mapInArrow(run, "fp string, n long")
+    # rows of an equal fingerprint are near too
+    every = found.unionByName(own.where("weight > 1").select("fp", (F.col("weight") - 1).alias("n")))
+    return every.groupBy(F.col("fp").alias("fingerprint")).agg(F.sum("n").alias("n_near"))
+
+
+def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``with_next`` and n_near: how many other rows of the table have a fingerprint within the radius (equal ones too)."""
     rows = stored(with_next(docs), "simhash")
-    pairs = near_fingerprints(rows, radius)
-    near = (pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).groupBy("fingerprint")
-            .agg(F.count("*").alias("n_near")))
+    near = stored(near_counts(rows, radius), "simhash-near")
     return rows.join(near, "fingerprint", "left").select(*rows.columns, F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))

@@ -232,6 +232,33 @@ def test_radius_search_by_brute_force(spark):
         assert {(r["a"], r["b"]) for r in simhash.near_fingerprints(df, 3, heavy).collect()} == want
 
 
+@pytest.mark.parametrize("heavy,block", [(256, 2048), (2, 5)])
+def test_rows_near_a_fingerprint_by_brute_force(spark, heavy, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(6)
+    base = [rng.getrandbits(128) for _ in range(20)]
+    fps = [b ^ sum({1 << rng.randrange(128) for _ in range(rng.randint(0, 6))}) for b in base for _ in range(12)] + base * 3
+    want = {f"{a:032x}": sum(bin(a ^ b).count("1") <= 7 for b in fps) - 1 for a in fps}
+    df = spark.createDataFrame([(f"{x:032x}",) for x in fps] + [(None,)], "fingerprint string")
+    got = {r["fingerprint"]: r["n_near"] for r in simhash.near_counts(df, 7, heavy).collect()}
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_registered_radius_finds_copies(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts = []
+    for _ in range(40):
+        words = [word() for _ in range(330)]
+        texts.append(" ".join(words))
+        words[rng.randrange(330)] = word()
+        texts.append(" ".join(words))
+    texts += ["one text three times over"] * 3
+    rows = simhash.fingerprint_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    near = {r["doc_id"]: r["n_near"] for r in rows}
+    assert sum(near[i] for i in range(0, 80, 2)) >= 28 and [near[i] for i in (80, 81, 82)] == [2, 2, 2]
+
+
 def secrets(text):
     assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 12]
