@@ -5,8 +5,9 @@ The pattern matches are spans in any case.  The model, trained on labelled spans
 "dot"), reads overlapping windows of the text.  Scores of a character from its windows are averaged, weighted by
 its distance to the window's edge, and one best path goes through each connected stretch of windows, so windows
 never contradict each other.  A decoded span is added if it overlaps no match and holds what its kind must hold.
-As each kind needs a digit, an @ or the word "dot", windows with none of them are O throughout
-and aren't computed.
+Every kind but an address needs a digit, and an address is accepted only as a match of ``DISGUISED``, so only
+windows of digits, of @, of "dot" and of the whole stretch of what could be such a match are computed.  An
+accepted address takes the rest of the words in which it begins and ends.
 
 Null texts count as empty and have no spans.  Texts are read whole.  Repeated rows are read each.
 """
@@ -35,6 +36,12 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SIGN = re.compile(r"[0-9@]|\bdot\b")
 DIGITS = re.compile(r"[0-9]")
 DISGUISED = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@| at |\[at\]|\(at\)) ?[A-Za-z0-9-]+(?: ?(?:\.| dot |\[dot\]|\(dot\)) ?[A-Za-z0-9-]+)+")
+_AT = r"(?:@| at |\[at\]|\(at\)) ?[A-Za-z0-9-]+"
+_DOT = r" ?(?:\.| dot |\[dot\]|\(dot\)) ?[A-Za-z0-9-]"
+# Where the middle of a match of DISGUISED begins (looked for at every place, as such middles may share a blank), and all from there on.
+MIDDLE = re.compile(f"(?={_AT}{_DOT})")
+DOMAINS = re.compile(f"{_AT}(?:{_DOT}+)+")
+NAME = re.compile(r"[A-Za-z0-9-]")
 
 
 def luhn(digits: str) -> bool:
@@ -92,6 +99,33 @@ def holds(kind: int, value: str) -> bool:
     return 9 <= len(d) <= 15 and len(re.findall(r"[\x20().-]", value)) >= 2 and not re.search(r"[^\x20()+.0-9-]", value)
 
 
+def signs_of(text: str) -> list[int]:
+    """Places whose windows are read: all signs, and each stretch that may be an address, from its first character to its last."""
+    out = [m.start() for m in SIGN.finditer(text)]
+    for m in MIDDLE.finditer(text):
+        begin = at = m.start()
+        if begin and text[begin - 1] == " ":
+            begin -= 1
+        head = begin
+        while begin and LOCAL.match(text, begin - 1):
+            begin -= 1
+        if begin < head:
+            end = DOMAINS.match(text, at).end()
+            out += [*range(begin, end, STRIDE), end - 1]
+    return out
+
+
+def whole(text: str, a: int, b: int, spans: list[tuple]) -> tuple[int, int]:
+    """The address at a to b with the rest of the words in which it begins and ends, up to the spans beside it."""
+    first = max([q for _, _, q in spans if q <= a], default=0)
+    last = min([p for _, p, _ in spans if p >= b], default=len(text))
+    while a > first and LOCAL.match(text, a - 1):
+        a -= 1
+    while b < last and NAME.match(text, b):
+        b += 1
+    return a, b
+
+
 def windows(text: str, signs: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """First positions of the windows that hold a sign, and their character classes."""
     first = sorted({k * STRIDE for s in signs for k in (s // STRIDE - 1, s // STRIDE)} )
@@ -111,14 +145,16 @@ def labelled(text: str, rng) -> list[tuple[str, list[tuple[int, int, int]]]]:
         forms = [value]
         if kind == 0:
             user, _, domain = value.partition("@")
-            forms += [user + " at " + domain.replace(".", " dot "), user + "[at]" + domain.replace(".", "[dot]")]
+            forms += [user + " at " + domain.replace(".", " dot "), user + "[at]" + domain.replace(".", "[dot]"),
+                      user + " at " + domain, user + "[at]" + domain, user + "(at)" + domain]
         if kind == 3:
             forms += [re.sub(r"^\+[0-9]{1,3}[\x20.-]*", "", value), value[1:]]
         for form in forms:
             piece = before + form + after
             out.append((piece, [(kind, len(before), len(before) + len(form))]))
-    for m in list(SIGN.finditer(text))[:4]:
-        a = max(0, m.start() - int(rng.integers(1, WINDOW)))
+    # "at" in ordinary sentences too, which are no addresses
+    for s in [m.start() for m in SIGN.finditer(text)][:4] + [m.start() for m in MIDDLE.finditer(text) if text[m.start()] != "@"][:4]:
+        a = max(0, s - int(rng.integers(1, WINDOW)))
         if not any(x[1] < a + WINDOW and a < x[2] for x in spans):
             out.append((text[a:a + WINDOW], []))
     if len(text) > 4:
@@ -187,6 +223,8 @@ def added(tagger: Tagger, texts: list[str], signs: list[list[int]], base: list[l
                     a += 1
                 while a < b and text[b - 1] in " .,;:":
                     b -= 1
+                if a < b and kind == 0 and holds(kind, text[a:b]):
+                    a, b = whole(text, a, b, base[i] + out[i])
                 if a < b and holds(kind, text[a:b]) and not any(p < b and a < q for _, p, q in base[i]) and not any(p < b and a < q for _, p, q in out[i]):
                     out[i].append((kind, a, b))
         row += len(at)
@@ -196,7 +234,7 @@ def added(tagger: Tagger, texts: list[str], signs: list[list[int]], base: list[l
 def spans_of(tagger: Tagger | None, texts: list[str | None]) -> tuple[list[list[tuple]], list[list[tuple]]]:
     """Pattern matches and added spans of each text."""
     texts = [t or "" for t in texts]
-    signs = [[m.start() for m in SIGN.finditer(t)] for t in texts]
+    signs = [signs_of(t) for t in texts]
     base = [base_spans(t) if s else [] for t, s in zip(texts, signs, strict=True)]
     more = added(tagger, texts, signs, base) if tagger else [[] for _ in texts]
     return base, more

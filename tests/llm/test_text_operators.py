@@ -329,6 +329,52 @@ def test_pii_model_finds_what_patterns_label(spark):
     assert total > 20 and hit / total > 0.5
 
 
+def test_every_address_that_would_be_accepted_is_read():
+    long = "x" * 150
+    texts = ["write to john.smith at example.com please", "john[at]example.com", "john(at)example.com", "a  john (at) example . com",
+             f"{'w ' * 80}{long} at example dot com", "x at y. at z.w", "we sat at at home", " at home. Then", "é" * 200 + "me at b.c"]
+    for t in texts:
+        at = {int(p) for a in pii.windows(t, pii.signs_of(t))[0] for p in range(a, a + pii.WINDOW)} if pii.signs_of(t) else set()
+        for a in range(len(t)):
+            m = pii.DISGUISED.match(t, a)
+            assert not m or set(range(a, m.end())) <= at
+    assert pii.signs_of(texts[6]) == pii.signs_of(texts[7]) == []
+
+
+def test_disguised_addresses_are_whole():
+    class Knows:  # a model that sees what stands around "at", but not where the address begins
+        tags = 1 + 2 * len(pii.KINDS)
+
+        def scores(self, x):
+            return np.zeros((*x.shape, self.tags))
+
+        def best(self, e):
+            tags = np.zeros(len(e), int)
+            begin = pii.STRIDE + 70  # the stretch begins a stride before the text
+            tags[begin:pii.STRIDE + 80 + len(" at example.co")] = 2
+            tags[begin] = 1
+            return tags
+
+    text = "x" * 80 + " at example.com now"
+    (spans,) = pii.spans_of(Knows(), [text])[1]
+    assert pii.masked(text, spans) == "[EMAIL] now"
+
+
+def test_model_masks_addresses_with_a_plain_full_stop():
+    docs = []
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(3, 7)))
+    for _ in range(300):
+        docs.append(" ".join(word() for _ in range(12)) + f" at {word()}. We sat {word()} {word()}.{word()}@{word()}.com " + " ".join(word() for _ in range(12)))
+    tagger = pii.train(docs)
+    found = 0
+    for _ in range(40):
+        address = f"{word()}.{word()} at {word()}.com"
+        text = f"{word()} {word()} {word()} {address} {word()} {word()} {word()}"
+        found += any(k == 0 and text[a:b] == address for k, a, b in pii.spans_of(tagger, [text])[1][0])
+    assert found > 20
+
+
 def test_lstm_gradient_by_differences():
     rng = np.random.default_rng(0)
     t = Tagger(2, hidden=3)
