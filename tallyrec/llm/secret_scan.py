@@ -1,11 +1,12 @@
 """Secret scan: fixed patterns, and Markov models of random strings and ordinary words (operator 2).
 
 DataFrame functions only.  Besides the pattern matches, every run of 16 or more token characters
-with a letter and a digit is scored: the sum over its character pairs of log P(random) - log
+is scored, whatever characters it holds: the sum over its character pairs of log P(random) - log
 P(ordinary), where both are first-order Markov models with additive smoothing.  They are
 trained from labelled samples: random strings made from digests of document ids (hex, base64, capitals and
-digits), ordinary words from the documents' text outside the pattern matches.  A run
-above ``threshold`` nats that overlaps no pattern match is a span of kind ``markov``.
+digits), ordinary ones from the words and identifiers (with digits, hyphens and the like) in the documents' text
+outside the pattern matches, all shorter than a scored run, and from ruled lines.  A run above ``threshold`` nats that lies in no pattern match is a span of kind ``markov``;
+it may hold a pattern match, which stays a span of its own.
 
 Null texts count as empty and have no spans.  Texts are searched whole.  Repeated rows are scanned each.
 """
@@ -21,7 +22,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"  # a run of AKIA[A-Z0-9]+ with 18 or more characte
 HEX = r"[0-9a-f]{16,}"
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
 KINDS = ["assign", "access", "hex", "markov"]
-WORD = r"[A-Za-z_]{8,}"
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,15}(?![A-Za-z0-9+/_=-])"  # shorter than what is scored, so no key is learned as ordinary
+RULES = [c * 24 for c in "+/_=-"]
 SIZE = 128  # characters of the models are ASCII
 
 
@@ -82,7 +84,8 @@ def ratio_table(docs: DataFrame, sample: int = 2000, smooth: float = 0.5) -> Dat
     text = F.coalesce("text", F.lit(""))
     for pattern in (ASSIGN, ACCESS, HEX):
         text = F.regexp_replace(text, pattern, " ")
-    plain = some.select(F.explode(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("value"), F.lit(0).alias("random"))
+    ruled = F.array(*[F.lit(x) for x in RULES])
+    plain = some.select(F.explode(F.concat(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), ruled)).alias("value"), F.lit(0).alias("random"))
     count = (random.unionByName(plain).select("random", F.explode(pairs_of(F.col("value"))).alias("pair"))
              .groupBy("pair").agg(F.sum("random").alias("r"), F.sum(1 - F.col("random")).alias("w")))
     grid = docs.sparkSession.range(SIZE * SIZE).select(F.col("id").cast("int").alias("pair")).join(count, "pair", "left").fillna(0, ["r", "w"])
@@ -100,8 +103,8 @@ def scan(docs: DataFrame, threshold: float = 15.0) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).select(
         "doc_id", base_spans(F.col("text")).alias("base"),
-        found(F.col("text"), RUN, 3, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")).alias("run"))
-    clear = F.filter("run", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+        found(F.col("text"), RUN, 3).alias("run"))
+    clear = F.filter("run", lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
     rows = rows.select("doc_id", "base", clear.alias("run"))
     # the table joins as one row only where there is something to score
     rows = rows.withColumn("ratio", F.when(F.size("run") > 0, ratio))

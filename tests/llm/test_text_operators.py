@@ -288,6 +288,18 @@ def test_secret_spans(spark, docs, odd):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_markov_model_decides_alone(spark, docs):
+    inside = "QmX7" + "0123456789abcdef" + "ZkRqTw9LpXvB"  # a base match inside a longer key
+    texts = ["key QxLkVbTmZpRsWcYdHnJqGfKt end", f"key {inside} end", "key QXLKVBTMZPRSWCYDHNJQ end", "=" * 40 + " " + "/" * 60 + " " + "-" * 50 + " " + "+" * 40,
+             "Understandingverylongordinaryword and well-known-state-of-things", "token=abcdefghijklmnopqr"]
+    more = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in secret_scan.scan(docs.select("doc_id", "text").union(more)).collect()}
+    spans = [rows[10_000 + i]["spans"] for i in range(len(texts))]
+    assert spans[0] == "markov:4:28" and spans[2] == "markov:4:24"
+    assert spans[1] == f"markov:4:{4 + len(inside)},hex:7:24"
+    assert spans[3] == spans[4] == "" and spans[5] == "assign:0:24"
+
+
 def personal(text):
     def luhn(d):
         total = 0
