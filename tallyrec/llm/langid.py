@@ -45,7 +45,12 @@ def prepared(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarra
         _table.append(_letters())
     codes, begin = flat.code_points(texts, order - 1, 1)
     far = codes >= 0x10000
-    codes = _table[0][np.where(far, 32, codes)] if not far.any() else np.where(far, codes, _table[0][np.where(far, 32, codes)])
+    if far.any():
+        kinds, which = np.unique(codes[far], return_inverse=True)
+        codes = _table[0][np.where(far, 32, codes)]
+        codes[far] = np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else 32 for c in kinds.tolist()], np.uint32)[which]
+    else:
+        codes = _table[0][codes]
     letters = flat.sums((codes != 32).astype(np.float32), begin)
     codes, begin = flat.squeeze(codes, begin, order - 1)
     return codes, begin, letters

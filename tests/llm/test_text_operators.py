@@ -163,6 +163,16 @@ def test_language_held_out_accuracy(spark, docs, odd):
     assert langid.predict(empty(spark), models).count() == 0
 
 
+def test_emoji_are_no_letters():
+    models = langid.Models(["a", "b"], 3)
+    models.fit([["the cat sat on the mat"], ["der hund lag auf der matte"]])
+    texts = ["🎉🎉 🎉", "🎉 123 🎉", "\U00010400\U00010428", "🎉 the cat"]
+    lang, score, low, rejected = models.judge(texts, 8.0)
+    assert lang[:2] == ["und", "und"] and score[:2].tolist() == [0, 0] and rejected[:2].all()
+    codes, begin, letters = langid.prepared(texts, 3)
+    assert letters.tolist() == [0, 0, 2, 6] and 0x10400 not in codes and (codes == 0x10428).sum() == 2  # Deseret letters, lower-cased
+
+
 def test_kneser_ney_sums_to_one(docs):
     models = langid.fit(docs, order=3)
     codes, begin, _ = langid.prepared([r["text"] for r in docs.limit(20).collect()], 3)
