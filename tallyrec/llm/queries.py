@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import (bpe, embed_dedup, langid, minhash, packing, pii, quality, secret_scan, simhash, token_counts, turns,
-                          whitening)
+from tallyrec.llm import (bpe, embed_dedup, langid, minhash, packing, pii, quality, rlz, secret_scan, simhash, token_counts,
+                          turns, whitening)
 from tallyrec.llm.common import doc_hash, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -58,6 +58,10 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op12_four_russians_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.report(turns.damaged(table(spark, sf_dir, "conversations"))).select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
@@ -71,7 +75,7 @@ def op13_golub_kahan_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_rotated_codes, op2_markov_secrets, op3_kneser_ney_language, op4_lstm_crf_pii, op5_minhash_near_duplicates,
     op6_edit_token_counts, op7_subword_quality, op8_simhash, op9_sum_of_squares_packing, op10_prefix_bpe,
-    op12_four_russians_repair, op13_golub_kahan_whitening,
+    op11_relative_lempel_ziv, op12_four_russians_repair, op13_golub_kahan_whitening,
 )}
 
 # All pairs that share a shingle are compared on their full sets; labels fall along the links until none changes.
