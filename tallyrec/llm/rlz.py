@@ -231,12 +231,14 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     every = stored(anchors(docs), "lz-anchors")
     index = (every.groupBy("g").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.max("doc_id").alias("last"))
              .where("at.doc_id < last").select("g", F.col("at.doc_id").alias("r"), F.col("at.pos").alias("q")))
+    index = stored(index, "lz-index")  # joined as a table: Spark splits a hot gram where both sides are plain shuffles
     cut = stored(stretches(docs, every.join(index, "g")), "lz-stretches")
     parsed = stored(parse(cut), "lz-factors")
     over = (parsed.select("doc_id", "key", F.explode(F.arrays_zip("starts", "digests")).alias("w"))
             .select("doc_id", "key", F.col("w.starts").alias("start"), F.col("w.digests").alias("digest")))
     held = (over.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
             .where("least < last").select("digest", "least"))
+    held = stored(held, "lz-windows")
     also = (over.join(held, "digest").where("doc_id > least")
             .select("doc_id", "key", F.array("start", F.col("start") + WINDOW).alias("spans")))
     return (parsed.where("size(spans) > 0").select("doc_id", "key", "spans").unionByName(also)
