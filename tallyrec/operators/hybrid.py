@@ -44,25 +44,31 @@ def user_converted(interactions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_converted"))
 
 
-def similar_posts(seeds: DataFrame, interactions: DataFrame, sim: DataFrame, meta: DataFrame,
-                  k: int = 42, seeds_bounded: bool = False) -> DataFrame:
+def list_depth(seeds: DataFrame, interactions: DataFrame, k: int = 42) -> int:
+    """How deep a seed's list must be for every user's top ``k``: ``k`` + the largest number of converted posts of a user."""
+    conv = converted(interactions).join(seeds.select("cim_id").distinct(), "cim_id", "left_semi")
+    c = conv.groupBy("cim_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0  # one scalar
+    return k + int(c)
+
+
+def similar_posts(seeds: DataFrame, interactions: DataFrame, sim: DataFrame, meta: DataFrame, k: int = 42,
+                  seeds_bounded: bool = False, depth: int | None = None, unexpired: bool = False) -> DataFrame:
     """ML9: (cim_id, post_id, sim_score): unexpired, not the seed, not converted; best seed
     per post (max); top ``k`` by similarity, ties by post id.
 
-    Exact early cut: a user's top ``k`` can only come from the first
-    ``k + c`` posts of each seed's list (in the same order), where ``c`` is the
-    largest number of converted posts of any user, since only converted posts
-    are removed per user.  So each seed list is cut to that depth (a partial
-    WindowGroupLimit, before any shuffle) and only then fanned out to users.
-    ``sim`` may carry ``is_expired`` (then it is a filter) or not (then a semi-join).
+    Exact early cut: a user's top ``k`` can only come from the first ``depth`` posts of each seed's list (in the
+    same order, see ``list_depth``), since only converted posts are removed per user.  So each seed list is cut to
+    that depth (a partial WindowGroupLimit, before any shuffle) and only then fanned out to users.
+    ``sim`` may be known to hold unexpired posts only, may carry ``is_expired`` (then it is a filter) or not (then a
+    semi-join).
     """
     conv = converted(interactions)
-    s = sim.filter(F.col("is_expired") == 0) if "is_expired" in sim.columns else sim.join(
-        meta.filter(F.col("is_expired") == 0).select("post_id"), "post_id", "left_semi")
-    users = seeds.select("cim_id").distinct()
-    c = (conv.join(users, "cim_id", "left_semi").groupBy("cim_id").agg(F.count(F.lit(1)).alias("n"))
-         .agg(F.max("n")).first()[0] or 0)  # one scalar
-    depth = k + int(c)
+    if unexpired:
+        s = sim
+    else:
+        s = sim.filter(F.col("is_expired") == 0) if "is_expired" in sim.columns else sim.join(
+            meta.filter(F.col("is_expired") == 0).select("post_id"), "post_id", "left_semi")
+    depth = depth or list_depth(seeds, interactions, k)
     w_seed = Window.partitionBy("seed_post_id").orderBy(F.desc("sim_score"), F.asc("post_id"))
     s = s.withColumn("_d", F.row_number().over(w_seed)).filter(F.col("_d") <= depth).drop("_d")
     su = seeds.select("cim_id", "seed_post_id")

@@ -19,6 +19,8 @@ from ..functions.time import epoch_seconds_rounded, lookback_start, ntz
 from ..params import EVENT_CLICK, EVENT_ORDER, EVENT_VIEW, GROUP_HOSTED
 from ..session import materialize
 from .rating import dense_ids
+from .topk import top_products
+
 
 def not_expired():
     """Drops items flagged 1 and keeps NULL, unlike ``is_expired = 0``."""
@@ -83,33 +85,79 @@ def fit_implicit(events: DataFrame, weights: dict, rank: int = 10, max_iter: int
     return _implicit_als(rank, max_iter, reg, alpha, seed).fit(train), uids, iids
 
 
-def recommend_unexpired(model, uids: DataFrame, iids: DataFrame, meta: DataFrame, k: int = 20) -> DataFrame:
+def item_slugs(items: DataFrame) -> DataFrame:
+    """(post_id, slug): the distinct slugs of every exported item."""
+    slug = F.explode(F.array_distinct(F.split(F.coalesce("slug_lst", F.lit("")), "\\|")))
+    return items.select(F.col("item_id").alias("post_id"), slug.alias("slug")).where("slug <> ''")
+
+
+def slug_vectors(factors: DataFrame, items: DataFrame, max_slugs: int = 300, ridge: float = 1.0) -> DataFrame:
+    """ML18, item side: (post_id, vector) of the exported items that are not in ``factors``.
+
+    The known items' vectors are regressed on an intercept and their category and store slugs (ridge regression; the
+    ``max_slugs`` commonest slugs of known items, a bound of the equations).  The normal equations are sums over items,
+    formed by Spark; only they, at most (max_slugs + 1) ** 2 numbers, go to the driver.  ``factors``: (post_id, vector).
+    """
+    import numpy as np
+
+    spark = factors.sparkSession
+    slugs = materialize(item_slugs(items))
+    known = materialize(slugs.join(factors.select("post_id"), "post_id", "left_semi"))
+    names = [r["slug"] for r in known.groupBy("slug").count().orderBy(F.desc("count"), F.asc("slug")).limit(max_slugs).collect()]
+    numbers = spark.createDataFrame([(s, i + 1) for i, s in enumerate(names)], "slug string, at int")
+    warm = factors.join(items.select(F.col("item_id").alias("post_id")), "post_id", "left_semi").select("post_id", "vector")
+    ones = warm.select("post_id", F.lit(0).alias("at"))
+    x = materialize(known.join(F.broadcast(numbers), "slug").select("post_id", "at").unionByName(ones))
+    sides = x.join(x.withColumnRenamed("at", "other"), "post_id").groupBy("at", "other").count().collect()
+    right = (x.join(warm, "post_id").select("at", F.posexplode("vector").alias("f", "v"))
+             .groupBy("at", "f").agg(F.sum(F.col("v").cast("double")).alias("v")).collect())
+    rank = 1 + max((r["f"] for r in right), default=-1)
+    gram, goal = np.zeros((len(names) + 1,) * 2), np.zeros((len(names) + 1, rank))
+    for r in sides:
+        gram[r["at"], r["other"]] = r["count"]
+    for r in right:
+        goal[r["at"], r["f"]] = r["v"]
+    gram[range(1, len(gram)), range(1, len(gram))] += ridge
+    weight = np.linalg.solve(gram, goal) if rank else goal
+    table = spark.createDataFrame([(s, weight[i + 1].tolist()) for i, s in enumerate(names)], "slug string, w array<double>")
+    cold = items.select(F.col("item_id").alias("post_id")).join(factors.select("post_id"), "post_id", "left_anti")
+    parts = slugs.join(cold, "post_id", "left_semi").join(F.broadcast(table), "slug")
+    sums = parts.groupBy("post_id").agg(F.array(*(F.sum(F.col("w")[i]) for i in range(rank))).alias("w"))
+    start = F.array(*(F.lit(float(v)) for v in (weight[0] if rank else ())))
+    vector = F.when(F.col("w").isNull(), start).otherwise(F.zip_with(start, F.col("w"), lambda a, b: a + b))
+    return cold.join(sums, "post_id", "left").select("post_id", vector.alias("vector"))
+
+
+def recommend_unexpired(model, uids: DataFrame, iids: DataFrame, meta: DataFrame, k: int = 20,
+                        items: DataFrame | None = None) -> DataFrame:
     """ML20 / P19: cim_id, post_id, permalink, score, post_order for every user of the model.
 
-    Exactness of the expiry filter: the model is asked for ``k + E`` items per
-    user, where E is the number of expired items the model knows; after
-    dropping expired items at least ``k`` remain whenever ``k`` exist.
+    Expired items leave before any product is formed, so exactly ``k`` items a user are asked for; ties stand in the order
+    of the post id.  With ``items`` (the item export) the items that nobody touched are scored too, by the vectors that their
+    slugs predict.
     """
-    expired = iids.join(meta.filter(F.col("is_expired").eqNullSafe(1)).select("post_id"), "post_id", "left_semi")
-    n_expired = expired.count()  # one scalar
-    recs = model.recommendForUserSubset(uids.select("uid"), k + int(n_expired))
-    flat = recs.select("uid", F.explode("recommendations").alias("r")).select(
-        "uid", F.col("r.iid").alias("iid"), F.round(F.col("r.rating").cast("double"), 6).alias("score"))
-    flat = flat.join(uids, "uid").join(iids, "iid").join(expired, "post_id", "left_anti")
+    expired = meta.filter(F.col("is_expired").eqNullSafe(1)).select("post_id")
+    factors = model.itemFactors.join(iids, F.col("id") == F.col("iid")).select(
+        "post_id", F.col("features").cast("array<double>").alias("vector"))
+    if items is not None:
+        factors = factors.unionByName(slug_vectors(materialize(factors), items))
+    live = factors.join(expired, "post_id", "left_anti").select(F.col("post_id").alias("item"), "vector")
+    users = model.userFactors.join(uids, F.col("id") == F.col("uid")).select(
+        F.col("cim_id").alias("user"), F.col("features").cast("array<double>").alias("vector"))
+    top = top_products(users, live, k).select(F.col("user").alias("cim_id"), F.col("item").alias("post_id"),
+                                              F.round("score", 6).alias("score"), F.col("place").alias("post_order"))
     # The permalink comes from unexpired metadata only: an item whose flag is NULL stays in the
     # list (the exclusion rule only drops flag 1) but has no permalink, as in the original.
     links = meta.filter(F.col("is_expired") == 0).select("post_id", "permalink")
-    flat = flat.join(links, "post_id", "left")
-    w = Window.partitionBy("cim_id").orderBy(F.desc("score"), F.asc("post_id"))
-    return (flat.withColumn("post_order", F.row_number().over(w)).filter(F.col("post_order") <= k)
-            .select("cim_id", "post_id", "permalink", "score", "post_order"))
+    return top.join(links, "post_id", "left").select("cim_id", "post_id", "permalink", "score", "post_order")
 
 
 def implicit_recs(events: DataFrame, meta: DataFrame, weights: dict, k: int = 20, rank: int = 10,
-                  max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 14) -> DataFrame:
-    """ML18 / ML20 / P19: fit the implicit model on the group's events, then top ``k`` unexpired."""
+                  max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 14,
+                  items: DataFrame | None = None) -> DataFrame:
+    """ML18 / ML20 / P19: fit the implicit model on the group's events, then top ``k`` unexpired of all ``items``."""
     model, uids, iids = fit_implicit(events, weights, rank, max_iter, reg, alpha, seed)
-    return recommend_unexpired(model, uids, iids, meta, k)
+    return recommend_unexpired(model, uids, iids, meta, k, items)
 
 
 def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: dt.datetime, holdout_days: int = 7,

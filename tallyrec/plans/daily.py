@@ -200,10 +200,10 @@ class DailyRun:
     def seeds(self) -> DataFrame:
         return materialize(hybrid.user_seeds(self.house, self.p.seeds_per_user))
 
-    @property
+    @cached_property
     def seed_bound_rows(self) -> int:
-        # Seeds come from the sample (<= sample_users users) x seeds_per_user, each with <= vocabulary terms.
-        return self.p.sample_users * self.p.seeds_per_user * self.p.vocabulary_size
+        # Counted seed rows (a stored table), each with at most the vocabulary's terms.
+        return self.seeds.count() * self.p.vocabulary_size
 
     @property
     def seeds_bounded(self) -> bool:
@@ -216,8 +216,12 @@ class DailyRun:
 
     @cached_property
     def similar(self) -> DataFrame:
-        return hybrid.similar_posts(self.seeds, self.house, self.similarity(self.weights), self.meta,
-                                    self.p.content_candidates, self.seeds_bounded)
+        """Pruned lists where the seeds fit every task (counted); above that, all pairs that share a term."""
+        k, depth = self.p.content_candidates, hybrid.list_depth(self.seeds, self.house, self.p.content_candidates)
+        if not self.seeds_bounded:
+            return hybrid.similar_posts(self.seeds, self.house, self.similarity(self.weights), self.meta, k, depth=depth)
+        top = similarity.seed_top(self.weights, self.seeds, depth, F.col("is_expired") == 0)
+        return hybrid.similar_posts(self.seeds, self.house, top, self.meta, k, True, depth, unexpired=True)
 
     @cached_property
     def split(self) -> DataFrame:
@@ -296,7 +300,7 @@ class DailyRun:
     @cached_property
     def hosted_recs(self) -> DataFrame:
         return materialize(implicit.implicit_recs(self.event_export, self.meta, self.p.implicit_weights,
-                                                  self.p.hosted_recs, seed=self.p.split_seed))
+                                                  self.p.hosted_recs, seed=self.p.split_seed, items=self.item_export))
 
     def implicit_recs(self) -> DataFrame:
         return self.hosted_recs
