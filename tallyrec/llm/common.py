@@ -30,27 +30,32 @@ def doc_hash(col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(0).cast("long"))
 
 
-def slices(batch: pa.RecordBatch, weight: int | None, budget: int) -> Iterator[list[list]]:
-    """Rows of an Arrow batch as column lists, in slices of about ``budget`` characters of column ``weight``."""
-    cols = [batch.column(i) for i in range(batch.num_columns)]
+def parts(batch: pa.RecordBatch, weight: int | None, budget: int) -> Iterator[pa.RecordBatch]:
+    """An Arrow batch in slices of about ``budget`` bytes of column ``weight``."""
     n = batch.num_rows
     if weight is None:
-        yield [c.to_pylist() for c in cols]
+        yield batch
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(cols[weight]), 0).to_pylist()
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(weight)), 0).to_pylist()
     begin, load = 0, 0
     for i, s in enumerate(sizes):
         load += s
         if load >= budget or i == n - 1:
-            yield [c.slice(begin, i + 1 - begin).to_pylist() for c in cols]
+            yield batch.slice(begin, i + 1 - begin)
             begin, load = i + 1, 0
 
 
+def slices(batch: pa.RecordBatch, weight: int | None, budget: int) -> Iterator[list[list]]:
+    """As ``parts``, every slice as column lists."""
+    for part in parts(batch, weight, budget):
+        yield [c.to_pylist() for c in part.columns]
+
+
 def map_slices(df: DataFrame, make: Callable, schema: str, text: str | None = "text",
-               budget: int = 2_000_000) -> DataFrame:
+               budget: int = 2_000_000, lists: bool = True) -> DataFrame:
     """``make()`` runs once per task and returns ``f(*columns) -> list of output columns``.
 
-    ``f`` gets the columns of ``df`` as Python lists, a bounded slice at a time,
+    ``f`` gets the columns of ``df`` as Python lists (or, without ``lists``, as Arrow arrays), a bounded slice at a time,
     so a worker never holds more than one slice beside its Arrow batch.  If ``f`` has
     ``finish``, it gives the last rows of the task.
     """
@@ -68,14 +73,42 @@ def map_slices(df: DataFrame, make: Callable, schema: str, text: str | None = "t
             if not batch.num_rows:
                 continue
             f = f or make()
-            for cols in slices(batch, weight, budget):
-                yield rows(f(*cols))
+            for part in parts(batch, weight, budget):
+                yield rows(f(*(c.to_pylist() if lists else c for c in part.columns)))
         if hasattr(f, "finish"):
             yield rows(f.finish())
 
     return df.mapInArrow(run, struct)
 
 
+def filter_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 2_000_000) -> DataFrame:
+    """The rows for whose texts ``f = make()`` gives True, all columns kept; ``f`` gets a bounded slice at a time."""
+    at = df.columns.index(text)
+
+    def run(batches):
+        f = None
+        for batch in batches:
+            f = f or make()
+            for part in parts(batch, at, budget):
+                yield part.filter(pa.array(f(part.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def replace_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 2_000_000) -> DataFrame:
+    """All rows and columns, the texts replaced by those that ``f = make()`` gives for a bounded slice at a time."""
+    at = df.columns.index(text)
+
+    def run(batches):
+        f = None
+        for batch in batches:
+            f = f or make()
+            for part in parts(batch, at, budget):
+                yield part.set_column(at, part.schema.field(at), pa.array(f(part.column(at).to_pylist()), part.schema.field(at).type))
+
+    return df.mapInArrow(run, df.schema)
+
+
 class Recent(dict):
     """Word cache of at most about ``2 * limit`` entries: two generations, the older one is dropped when full."""
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import doc_hash, map_slices
+from tallyrec.llm.common import doc_hash, filter_texts, map_slices
 
 PIECE = 200  # characters of the pieces on which rejection is calibrated
 UNKNOWN = "und"
@@ -233,13 +233,4 @@ def keep_known(docs: DataFrame, models: Models, reject: float = 8.0) -> DataFram
     """The rows that are not rejected, all columns kept."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    @F.pandas_udf("boolean")
-    def known(texts):
-        import pandas as pd
-
-        values, out = texts.tolist(), []
-        for i in range(0, len(values), 256):
-            out.append(~shared.value.judge(values[i:i + 256], reject)[3])
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
-
-    return docs.where(known(F.col("text")))
+    return filter_texts(docs, lambda: lambda texts: ~shared.value.judge(texts, reject)[3])

@@ -14,10 +14,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallyrec.llm.common import Recent, map_slices
+from tallyrec.llm.common import map_slices
 
 BLANKS = " \t\n\r"
 
@@ -111,67 +113,127 @@ class Levels:
             self._close(now)
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Words:
     """Ids of a text as little-endian bytes, remembered by blank-separated chunk.
 
     Blanks are dropped by this vocabulary's own pre-tokeniser and no pre-token spans
-    one, so the chunks' ids one after the other are the text's.
+    one, so the chunks' ids one after the other are the text's.  Arrow cuts the texts of a slice, numbers their chunks and
+    looks them up among those known; Python sees a chunk once, when it is new, and numpy puts the ids together.  At
+    ``limit`` known chunks those of earlier slices are forgotten.
     """
 
-    def __init__(self, tokenizer, cache: int = 350_000):
-        self.t, self.seen = tokenizer, Recent(cache)
-
-    def _chunks(self, text: str | None) -> list[str]:
-        if not text:
-            return []
+    def __init__(self, tokenizer, limit: int = 1_000_000):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.t, self.limit = tokenizer, limit
+        # the same merges for words that the normaliser would leave as they are and the pre-tokeniser whole
+        self.merges = Tokenizer.from_str(tokenizer.to_str())
+        self.merges.normalizer, self.merges.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        self.letters = byte_letters()
+        last = self.merges.model.end_of_word_suffix
+        self.ends = np.zeros(self.merges.get_vocab_size(), bool)  # tokens that end a word
+        for token, number in self.merges.get_vocab(with_added_tokens=False).items():
+            self.ends[number] = bool(last) and token.endswith(last)
+        self.known = pa.array([""], pa.string())
+        self.begin, self.size, self.flat = np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, "<u4")
+
+    @staticmethod
+    def _chunks(texts: pa.Array) -> pa.ListArray:
+        texts = pc.fill_null(texts, "")
+        # the vocabulary is of lower case; a text that may name a special token is left to the tokeniser
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         for blank in BLANKS[1:]:
-            text = text.replace(blank, " ")
-        try:  # the vocabulary is of lower case; for these letters Python's rule is the file's
-            text.encode("latin-1")
-            text = text.lower()
-        except UnicodeEncodeError:
-            pass
-        return text.split(" ")
-
-    def _learn(self, lacking: list[str]) -> None:
-        """Encode chunks joined by blanks, a few thousand at a time; a token belongs to the chunk that its offset lies in."""
-        lacking = [c for c in lacking if c]
-        for i in range(0, len(lacking), 4000):
-            part = lacking[i:i + 4000]
+            texts = pc.replace_substring(texts, blank, " ")
+        return pc.split_pattern(texts, " ")
+
+    def _merge(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, encoded joined by blanks, some thousands at a time; a word goes up to its last token."""
+        out = []
+        for i in range(0, len(words), 2000):
+            part = words[i:i + 2000]
+            ids = np.array(self.merges.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stop = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stop) != len(part):  # no mark at the end of a word in this vocabulary
+                return [np.array(self.merges.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *stop], stop, strict=False)]
+        return out
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, encoded joined by blanks; a token belongs to the chunk that its offset lies in."""
+        out = []
+        for i in range(0, len(chunks), 2000):
+            part = chunks[i:i + 2000]
             e = self.t.encode(" ".join(part), add_special_tokens=False)
             begin = np.cumsum([0] + [len(c) + 1 for c in part])
             at = np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids)), begin).tolist()
             ids = np.array(e.ids, "<u4").tobytes()
-            for c, a, b in zip(part, at[:-1], at[1:], strict=True):
-                self.seen[c] = ids[4 * a:4 * b]
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        lists = [self._chunks(t) for t in texts]
-        self.seen.trim()
-        self.seen[""] = b""
-        known: set[str] = set()
-        for x in lists:
-            known.update(x)
-        lacking = self.seen.lacking(known)
+            out += [ids[4 * a:4 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        return out
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
         # letters with a full stop or comma behind: both parts are pre-tokens of their own
-        whole, ends = [], []
-        for c in lacking:
+        parted, plain, other = [], {}, set()
+        for c in chunks:
             core = c.rstrip(".,;:!?")
-            if len(core) < len(c) and core.isalpha():
-                ends.append((c, core))
+            if not (len(core) < len(c) and core.isalpha()):
+                core = c
+            parted.append((core, c[len(core):]))
+            if core.isascii() and core.isalpha() and core.islower():
+                plain[core] = core
+            elif core.isalpha() and max(core) < "\u0100" and core == core.lower():
+                plain[core] = core.encode().decode("latin-1").translate(self.letters)
             else:
-                whole.append(c)
-        need = set(whole)
-        need.update(core for _, core in ends)
-        need.update(c[len(core):] for c, core in ends)
-        self._learn(self.seen.lacking(need))
-        get = self.seen.__getitem__
-        for c, core in ends:
-            self.seen[c] = get(core) + get(c[len(core):])
-        return [b"".join([get(w) for w in x]) for x in lists]
-
-
-_words: dict[str, Words] = {}
+                other.add(core)
+            if len(core) < len(c):
+                other.add(c[len(core):])
+        ids = dict(zip(plain, self._merge(list(plain.values())), strict=True))
+        other = list(other)
+        ids.update(zip(other, self._encode(other), strict=True))
+        ids[""] = b""
+        return [ids[core] + ids[end] for core, end in parted]
+
+    def _numbers(self, chunks: pa.Array) -> np.ndarray:
+        """Places of the chunks among the known ones; new ones are learned."""
+        at = pc.index_in(chunks, value_set=self.known)
+        if at.null_count:
+            if len(self.known) + at.null_count > self.limit:
+                self.known = self.known[:1]
+                self.begin, self.size, self.flat = self.begin[:1], self.size[:1], self.flat[:0]
+                at = pc.index_in(chunks, value_set=self.known)
+            new = chunks.filter(pc.is_null(at))
+            ids = self._learn(new.to_pylist())
+            size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+            self.begin = np.concatenate([self.begin, (len(self.flat) + np.cumsum(size) - size).astype(np.int32)])
+            self.size = np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+            at = at.to_numpy(zero_copy_only=False)
+            lacking = np.isnan(at)
+            at = np.where(lacking, 0, at).astype(np.int64)
+            at[lacking] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            return at
+        return at.to_numpy()
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        lists = self._chunks(texts)
+        coded = lists.flatten().dictionary_encode()
+        at = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
+        n = self.size[at]
+        total = np.cumsum(n, dtype=np.int64)
+        ids = self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(self.begin[at] - total + n, n)].tobytes()
+        edge = (np.concatenate([[0], total])[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4).tolist()
+        return [ids[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
+_words: dict[str, Words] = {}  # of this worker, some tens of MB: words learned for one task serve the next
 
 
 def pack(docs: DataFrame, vocabulary_path: str, length: int = 2048, end_id: int = 1, max_open: int = 4096) -> DataFrame:
@@ -200,7 +262,7 @@ def pack(docs: DataFrame, vocabulary_path: str, length: int = 2048, end_id: int
         levels = Levels(length, max_open, TaskContext.get().partitionId() << 40)
 
         def run(doc_ids, texts):
-            for doc, ids in zip(doc_ids, words.ids(texts), strict=True):
+            for doc, ids in zip(doc_ids.to_pylist(), words.ids(texts), strict=True):
                 levels.add(doc, ids + end)
             return flush()
 
@@ -216,4 +278,5 @@ def pack(docs: DataFrame, vocabulary_path: str, length: int = 2048, end_id: int
         return run
 
     return map_slices(docs.select("doc_id", "text"), make,
-                      "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+                      "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
+                      budget=4_000_000, lists=False)

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.common import map_slices
+from tallyrec.llm.common import map_slices, replace_texts
 from tallyrec.llm.lstm_crf import Tagger, classes
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -275,18 +275,11 @@ def mask(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """All rows and columns, with the spans masked in ``text`` and ``n_chars`` (if there) counted anew.  Null texts stay null."""
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
 
-    @F.pandas_udf("string")
     def clean(texts):
-        import pandas as pd
+        base, more = spans_of(shared.value, texts)
+        return [None if t is None else masked(t, b + m) for t, b, m in zip(texts, base, more, strict=True)]
 
-        values, out = [None if t is None or t != t else t for t in texts], []
-        for i in range(0, len(values), 256):
-            part = values[i:i + 256]
-            base, more = spans_of(shared.value, part)
-            out += [None if t is None else masked(t, b + m) for t, b, m in zip(part, base, more, strict=True)]
-        return pd.Series(out, dtype="object")
-
-    out = docs.withColumn("text", clean(F.col("text")))
+    out = replace_texts(docs, lambda: clean)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), F.col("n_chars")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import doc_hash, map_slices
+from tallyrec.llm.common import doc_hash, filter_texts, map_slices
 
 SIZES = (3, 4, 5)
 
@@ -128,13 +128,8 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFram
     """The rows that score at least ``threshold``, all columns kept."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bits, model.row, model.bias))
 
-    @F.pandas_udf("boolean")
-    def good(texts):
-        import pandas as pd
-
-        m, values, out = Model(*shared.value), texts.tolist(), []
-        for i in range(0, len(values), 256):
-            out.append(m.score(values[i:i + 256]) >= threshold)
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+    def make():
+        m = Model(*shared.value)
+        return lambda texts: m.score(texts) >= threshold
 
-    return docs.where(good(F.col("text")))
+    return filter_texts(docs, make)

@@ -427,3 +427,19 @@ def test_viterbi_by_brute_force():
     trans = np.where(t.ok, t.p["trans"], -1e4)
     best = max(itertools.product(range(3), repeat=5), key=lambda p: (p[0] != 2) * 1e6 + e[np.arange(5), p].sum() + sum(trans[a, b] for a, b in itertools.pairwise(p)))
     assert tuple(t.best(e)) == best
+
+
+def test_words_are_encoded_as_by_the_library(docs):
+    """Plain words go through the merges alone, others through the whole tokeniser; chunks are forgotten at the limit."""
+    import pyarrow as pa
+
+    t = Tokenizer.from_file(WORD)
+    texts = [x for _, x in texts_of(docs)] + [x or "" for x in ODD] + [
+        "Été ÉTÉ straße STRASSE µm ªº İstanbul ΣΑΣ ǅ é́ áb ſt K", "don't can't'll i'm. you're, O'Neil's", "<|ENDOFTEXT|> A <|endoftext|> B",
+        "x.y z,, ... !? a.! b;: 12.5 v2.0", "ñandú. çà, Ñ! ÿ", "\x0b a\x85b　c"]
+    want = [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    for limit in (1_000_000, 50):
+        words = packing.Words(t, limit)
+        got = [i for at in range(0, len(texts), 7) for i in words.ids(pa.array(texts[at:at + 7], pa.string()))]
+        assert got == want
+        assert limit > 50 or len(words.known) < 10_000
