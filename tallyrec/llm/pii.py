@@ -134,14 +134,13 @@ def windows(text: str, signs: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return at, padded[at[:, None] + STRIDE + np.arange(WINDOW)]
 
 
-def labelled(text: str, rng) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """Pieces of text around the matches with their labelled spans, disguised ones, and pieces without any."""
+def labelled(text: str) -> list[tuple[int, str, str, str]]:
+    """(kind, text before, value, text after) of the matches in a text, disguised ones too; kind -1: no personal data."""
     spans, out = base_spans(text), []
     for kind, a, b in spans:
-        if any(x != (kind, a, b) and x[1] < b and a < x[2] for x in spans) or b - a > STRIDE:
+        if any(x != (kind, a, b) and x[1] < b and a < x[2] for x in spans) or b - a > WINDOW - 8:
             continue
-        lead = int(rng.integers(4, WINDOW - (b - a) - 1))
-        before, value, after = text[max(0, a - lead):a], text[a:b], text[b:b + WINDOW]
+        before, value, after = text[max(0, a - WINDOW):a], text[a:b], text[b:b + WINDOW]
         forms = [value]
         if kind == 0:
             user, _, domain = value.partition("@")
@@ -149,45 +148,59 @@ def labelled(text: str, rng) -> list[tuple[str, list[tuple[int, int, int]]]]:
                       user + " at " + domain, user + "[at]" + domain, user + "(at)" + domain]
         if kind == 3:
             forms += [re.sub(r"^\+[0-9]{1,3}[\x20.-]*", "", value), value[1:]]
-        for form in forms:
-            piece = before + form + after
-            out.append((piece, [(kind, len(before), len(before) + len(form))]))
+        out += [(kind, before, form, after) for form in forms if len(form) <= WINDOW - 8]
     # "at" in ordinary sentences too, which are no addresses
-    for s in [m.start() for m in SIGN.finditer(text)][:4] + [m.start() for m in MIDDLE.finditer(text) if text[m.start()] != "@"][:4]:
-        a = max(0, s - int(rng.integers(1, WINDOW)))
-        if not any(x[1] < a + WINDOW and a < x[2] for x in spans):
-            out.append((text[a:a + WINDOW], []))
-    if len(text) > 4:
-        a = int(rng.integers(0, len(text)))
-        if not any(x[1] < a + WINDOW and a < x[2] for x in spans):
-            out.append((text[a:a + WINDOW], []))
+    clear = [m.start() for m in SIGN.finditer(text)][:4] + [m.start() for m in MIDDLE.finditer(text) if text[m.start()] != "@"][:4]
+    for s in [*clear, len(text) // 2]:
+        a = max(0, s - WINDOW // 2)
+        if len(text) > 4 and not any(x[1] < a + WINDOW and a < x[2] for x in spans):
+            out.append((-1, "", "", text[a:a + WINDOW]))
     return out
 
 
-def train(texts: list[str], most: int = 1200, hidden: int = 12, epochs: int = 10) -> Tagger | None:
+def train(texts: list[str], per_kind: int = 300, hidden: int = 12, epochs: int = 8) -> Tagger | None:
+    """Fit the tagger on ``per_kind`` windows of every kind, and twice as many without personal data.
+
+    Matches are drawn again and again until a kind has its windows, each time at another place of the window and, but for
+    addresses, with other digits, so rare kinds count as much as frequent ones.
+    """
     rng = np.random.default_rng(11)
-    pieces = [p for t in texts for p in labelled(t, rng)]
-    if not any(s for _, s in pieces):
+    examples: dict[int, list] = {}
+    for t in texts:
+        for e in labelled(t):
+            examples.setdefault(e[0], []).append(e)
+    if not any(k >= 0 for k in examples):
         return None
-    pieces = [pieces[i] for i in rng.permutation(len(pieces))[:most]]
-    x, y = np.zeros((len(pieces), WINDOW), np.uint8), np.zeros((len(pieces), WINDOW), np.int64)
-    for i, (piece, spans) in enumerate(pieces):
-        c = classes(piece)[:WINDOW]
+    drawn = []
+    for kind, found in sorted(examples.items()):
+        n = per_kind if kind >= 0 else min(2 * per_kind, len(found))
+        at = np.concatenate([rng.permutation(len(found)) for _ in range(-(-n // len(found)))])[:n]
+        drawn += [found[i] for i in at]
+    x, y = np.zeros((len(drawn), WINDOW), np.uint8), np.zeros((len(drawn), WINDOW), np.int64)
+    for i, (kind, before, value, after) in enumerate(drawn):
+        lead = 0
+        if kind >= 0:
+            lead = min(len(before), int(rng.integers(0, WINDOW - len(value) + 1)))
+            if kind and rng.random() < 0.7:
+                value = "".join(str(rng.integers(10)) if c in "0123456789" else c for c in value)
+            y[i, lead:lead + len(value)] = 2 + 2 * kind
+            y[i, lead] = 1 + 2 * kind
+        c = classes(before[len(before) - lead:] + value + after)[:WINDOW]
         x[i, :len(c)] = c
-        for kind, a, b in spans:
-            y[i, a:min(b, WINDOW)] = 2 + 2 * kind
-            if a < WINDOW:
-                y[i, a] = 1 + 2 * kind
     tagger = Tagger(len(KINDS), hidden)
     tagger.train(x, y, epochs)
     return tagger
 
 
 def fit(docs: DataFrame, sample: int = 4000) -> Tagger | None:
-    """Train on the labelled spans of the ``sample`` documents with the smallest salted hash (the driver's bound at every size)."""
+    """Train on the labelled spans of the ``sample`` documents with the smallest salted hash among those that hold a digit or an @.
+
+    ``sample`` bounds what the driver gets at every size; texts of over 100,000 characters are not drawn.
+    """
     rank = F.xxhash64("doc_id", F.lit("personal"))
-    ids = docs.select("doc_id", rank.alias("_rank")).where("doc_id is not null").orderBy("_rank", "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.col("text").rlike("[0-9@]"))
+    able = docs.where("doc_id is not null and length(text) <= 100000").where(F.col("text").rlike("[0-9@]"))
+    ids = able.select("doc_id", rank.alias("_rank")).orderBy("_rank", "doc_id").limit(sample)
+    rows = able.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     got = rows.orderBy("_rank", "doc_id", "text").limit(sample).collect()
     return train([r["text"] for r in got])
 

@@ -429,6 +429,26 @@ def test_viterbi_by_brute_force():
     assert tuple(t.best(e)) == best
 
 
+def test_pii_model_by_kind(spark):
+    """Held-out recall of the model alone by kind, and spans that no pattern finds."""
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text rlike '[0-9@]'").orderBy("doc_id").collect()]
+    tagger = pii.train(docs[::2])
+    hit, total, wrong = [0] * 4, [0] * 4, 0
+    for t in docs[1::2]:
+        base = pii.base_spans(t)
+        alone = set(pii.added(tagger, [t], [[m.start() for m in pii.SIGN.finditer(t)]], [[]])[0])
+        for s in base:
+            total[s[0]] += 1
+            hit[s[0]] += s in alone
+        wrong += sum(not any(a[1] < s[2] and s[1] < a[2] for s in base) for a in alone)
+    assert min(total) > 50 and all(h / n >= 0.8 for h, n in zip(hit, total, strict=True)) and wrong <= 10
+    places = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    spoken = lambda a: a.partition("@")[0] + " at " + a.partition("@")[2].replace(".", " dot ")
+    changed = [(t[:m.start()] + spoken(m[0]) + t[m.end():], m.start()) for t in docs[1::2] for m in [places.search(t)] if m]
+    found = sum(any(k == 0 and a == at for k, a, _ in pii.spans_of(tagger, [t])[1][0]) for t, at in changed)
+    assert len(changed) > 20 and found / len(changed) >= 0.8
+
+
 def test_words_are_encoded_as_by_the_library(docs):
     """Plain words go through the merges alone, others through the whole tokeniser; chunks are forgotten at the limit."""
     import pyarrow as pa
