@@ -10,9 +10,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import md5_bucket100, md5_key
+from ..functions.ids import md5_bucket100, smallest_hashes
 from ..functions.time import lookback_start, ntz
 from ..params import DUMMY_SEED_POST, GROUP_CONTROL, GROUP_EDGES, GROUP_HOSTED, GROUP_IN_HOUSE
+from ..session import materialize
 from .identity import anonymous_ids
 
 KEYS = ["cim_id", "post_id"]
@@ -49,34 +50,65 @@ def _events_per_user_post(identity: DataFrame, events: DataFrame, aggs: dict,
     return joined.groupBy(*KEYS).agg(*[g(n).alias(n) for n, (_, _, g) in aggs.items()])
 
 
+# What an event table adds up to per (anonymous id, post): (first aggregate, column), second aggregate, by result column.
+MEASURES = {
+    "views": {"max_date": (F.max, "received_at", F.max), "page_view_count": (F.count, "*", F.sum)},
+    "clicks": {"outgoing_link_click_count": (F.count, "*", F.sum)},
+    "commission": {"order_count": (F.sum, "order_count", F.sum)},
+}
+EVENT_TIME = {"views": "received_at", "clicks": "received_at", "commission": "commission_date"}
+
+
+def _counted(kind: str, events: DataFrame) -> DataFrame:
+    # null post ids are kept in the orders (they never join later)
+    return events if kind == "commission" else events.filter(F.col("post_id").isNotNull())
+
+
+def day_partials(kind: str, sources: DataFrame | Sequence[DataFrame], since: dt.date, until: dt.date | None = None) -> DataFrame:
+    """Per (day, anonymous id, post) sums of the events from ``since`` on, up to ``until`` (exclusive): one row a group.
+
+    The window starts at a midnight, so whole days add up to exactly what the raw events give.
+    """
+    cols = ["anonymous_id", "post_id", EVENT_TIME[kind]] + ["order_count"] * (kind == "commission")
+    t = F.col(EVENT_TIME[kind])
+    ev = _counted(kind, _union(sources, cols)).filter(t >= ntz(since))
+    if until is not None:
+        ev = ev.filter(t < ntz(until))
+    return (ev.withColumn("day", F.to_date(t)).groupBy("day", "anonymous_id", "post_id")
+            .agg(*[f(c).alias(n) for n, (f, c, _) in MEASURES[kind].items()]))
+
+
+def merge_partials(kind: str, identity: DataFrame, partials: DataFrame, as_of: dt.datetime, lookback_days: int = 28,
+                   prefilter: DataFrame | None = None) -> DataFrame:
+    """P3-P5 from the day partials of the look-back window instead of raw events."""
+    days = partials.filter(F.col("day") >= F.lit(lookback_start(as_of, lookback_days).date()))
+    merged = {n: (g, n, g) for n, (_, _, g) in MEASURES[kind].items()}
+    return _events_per_user_post(identity, days, merged, prefilter).select(*KEYS, *MEASURES[kind])
+
+
+def _from_events(kind: str, identity: DataFrame, sources, as_of: dt.datetime, lookback_days: int,
+                 prefilter: DataFrame | None) -> DataFrame:
+    cols = ["anonymous_id", "post_id", EVENT_TIME[kind]] + ["order_count"] * (kind == "commission")
+    ev = _counted(kind, _union(sources, cols).filter(F.col(EVENT_TIME[kind]) >= ntz(lookback_start(as_of, lookback_days))))
+    return _events_per_user_post(identity, ev, MEASURES[kind], prefilter).select(*KEYS, *MEASURES[kind])
+
+
 def page_views(identity: DataFrame, sources: DataFrame | Sequence[DataFrame], as_of: dt.datetime,
                lookback_days: int = 28, prefilter: DataFrame | None = None) -> DataFrame:
     """cim_id, post_id, max_date, page_view_count over all channels."""
-    ev = _union(sources, ["anonymous_id", "post_id", "received_at"]).filter(
-        (F.col("received_at") >= ntz(lookback_start(as_of, lookback_days))) & F.col("post_id").isNotNull())
-    out = _events_per_user_post(identity, ev, {
-        "max_date": (F.max, "received_at", F.max),
-        "page_view_count": (F.count, F.lit(1), F.sum),
-    }, prefilter)
-    return out.select(*KEYS, "max_date", "page_view_count")
+    return _from_events("views", identity, sources, as_of, lookback_days, prefilter)
 
 
 def link_clicks(identity: DataFrame, sources: DataFrame | Sequence[DataFrame], as_of: dt.datetime,
                 lookback_days: int = 28, prefilter: DataFrame | None = None) -> DataFrame:
     """cim_id, post_id, outgoing_link_click_count."""
-    ev = _union(sources, ["anonymous_id", "post_id", "received_at"]).filter(
-        (F.col("received_at") >= ntz(lookback_start(as_of, lookback_days))) & F.col("post_id").isNotNull())
-    out = _events_per_user_post(identity, ev, {"outgoing_link_click_count": (F.count, F.lit(1), F.sum)},
-                                prefilter)
-    return out.select(*KEYS, "outgoing_link_click_count")
+    return _from_events("clicks", identity, sources, as_of, lookback_days, prefilter)
 
 
-def orders(identity: DataFrame, commission: DataFrame, as_of: dt.datetime, lookback_days: int = 28,
+def orders(identity: DataFrame, commission: DataFrame | Sequence[DataFrame], as_of: dt.datetime, lookback_days: int = 28,
            prefilter: DataFrame | None = None) -> DataFrame:
     """P5: cim_id, post_id, order_count.  Null post ids are kept here (they never join later)."""
-    ev = commission.filter(F.col("commission_date") >= ntz(lookback_start(as_of, lookback_days)))
-    out = _events_per_user_post(identity, ev, {"order_count": (F.sum, "order_count", F.sum)}, prefilter)
-    return out.select(*KEYS, "order_count")
+    return _from_events("commission", identity, commission, as_of, lookback_days, prefilter)
 
 
 def group_of(bucket) -> "F.Column":
@@ -89,11 +121,10 @@ def group_of(bucket) -> "F.Column":
 def sample_groups(views: DataFrame, n: int = 3000, salt: str = "sample") -> DataFrame:
     """A repeatable sample of exactly ``n`` users, split into three groups by an md5 bucket.
 
-    The limit is the feature (a fixed-size sample); Spark plans it as a
-    per-partition top-n followed by one bounded merge.
+    The limit is the feature (a fixed-size sample); see ``smallest_hashes`` for how it stays distributed.
     """
-    users = views.select("cim_id").distinct()
-    picked = users.orderBy(md5_key("cim_id", salt=salt), "cim_id").limit(n)
+    users = materialize(views.select("cim_id").distinct())  # counted, then cut
+    picked = smallest_hashes(users, n, ["cim_id"], salt)
     b = md5_bucket100(F.col("cim_id"))
     return picked.select("cim_id", b.alias("rand_int"), group_of(b).alias("rec_group"))
 

@@ -68,13 +68,14 @@ def post_base(posts: DataFrame, expiry: DataFrame, interactions: DataFrame, now:
 def post_content(post_versions: DataFrame, base: DataFrame, max_keys: int | None = None) -> DataFrame:
     """Distinct content versions joined by ' ', oldest first (by max(date, modified)).
 
-    Distinct values ordered by another expression: first reduce to one row per
-    (post, content) with its earliest order key, then sort the per-post array.
+    Versions are told apart by the digest of their text: rows are grouped by (post, digest), so no text is a
+    shuffle key and equal texts are combined before the shuffle.  Each distinct text travels once; then the
+    versions of a post are ordered by their earliest date.
     """
     v = post_versions.select(_sid().alias("post_id"), "post_content", "post_date", "post_modified")
     v = keep_keys(v, base.select("post_id"), "post_id", max_keys).filter(F.col("post_content").isNotNull())
-    per = v.groupBy("post_id", "post_content").agg(
-        F.min(F.greatest("post_date", "post_modified")).alias("k"))
+    per = v.withColumn("digest", F.unhex(F.sha2("post_content", 256))).groupBy("post_id", "digest").agg(
+        F.min(F.greatest("post_date", "post_modified")).alias("k"), F.any_value("post_content").alias("post_content"))
     ordered = F.array_sort(F.collect_list(F.struct("k", "post_content")))
     return per.groupBy("post_id").agg(
         F.array_join(F.transform(ordered, lambda s: s["post_content"]), " ").alias("post_content"))

@@ -65,6 +65,7 @@ class RunParams:
     category_exclude_pattern: str = CATEGORY_EXCLUDE_PATTERN
     extra_stop_words: tuple[str, ...] = tuple(EXTRA_STOP_WORDS)
     lookback_days: int = LOOKBACK_DAYS
+    late_days: int = 1  # days before the run day whose events are read again
     grace_hours: int = EXPIRY_GRACE_HOURS
     local_tz: str = LOCAL_TZ
     sample_users: int = SAMPLE_USERS

@@ -62,6 +62,25 @@ def q_cohort_sample_groups(s, d):
     return _run(s, d).groups
 
 
+def q_cohort_sample_bound(s, d):
+    """P6 with a bound that binds: 20 of the users with views."""
+    from ..operators.interactions import sample_groups
+
+    return sample_groups(_run(s, d).activity_all[0], 20)
+
+
+def q_daily_interactions_from_partials(s, d):
+    """P3-P5, P8 from stored day partials: the same rows as ``daily_interactions``."""
+    from ..operators.interactions import rated_interactions
+    from ..session import scratch_path
+    from .daily import store_partials
+
+    r = _run(s, d)
+    partials = store_partials(r.src, scratch_path(s, "event-days"), DEFAULT.lookback_days)
+    again = DailyRun(s, d, DEFAULT, setup=r.setup, partials=partials)
+    return rated_interactions(*again.activity, again.cohort, r.seed_log)
+
+
 def q_seed_history_init(s, d):
     return _run(s, d).seed_init
 

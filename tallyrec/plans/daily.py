@@ -22,19 +22,25 @@ from pyspark.sql import functions as F
 from ..operators import feed, hybrid, identity, implicit, interactions, posts, rating, similarity, tfidf
 from ..params import (DEFAULT, FEED_LABEL_HOSTED, FEED_LABEL_IN_HOUSE, GROUP_HOSTED, GROUP_IN_HOUSE,
                       OUTBOUND_POST_TYPE_HOSTED, OUTBOUND_POST_TYPE_IN_HOUSE, RunParams)
+from ..functions.time import lookback_start
 from ..session import drop_step_tables, materialize, step_tables
-from ..sources import fixtures as fx
+from ..sources import versions
+from ..sources.named import Sources, fixture_sources
 
 
 class DailyRun:
     """``setup`` / ``seed_history``: optional frames written by earlier runs (the set-up table and the
-    seed history); without them the run derives the set-up itself and uses the fixture's seed log."""
+    seed history); without them the run derives the set-up itself and uses the sources' seed log.
+    ``sources``: the named inputs and run dates (default: the fixtures in ``sf_dir``).  ``partials``: stored day
+    partials by kind of event; with them the daily activity reads no raw events."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT,
-                 setup: DataFrame | None = None, seed_history: DataFrame | None = None):
-        self.spark, self.d, self.p = spark, sf_dir, params
-        self.as_of = fx.as_of(spark, sf_dir)
-        self.orders_as_of = fx.orders_as_of(spark, sf_dir)
+                 setup: DataFrame | None = None, seed_history: DataFrame | None = None,
+                 sources: Sources | None = None, partials: dict[str, DataFrame] | None = None):
+        self.spark, self.p = spark, params
+        self.src = sources or fixture_sources(spark, sf_dir)
+        self.as_of, self.orders_as_of = self.src.as_of, self.src.orders_as_of
+        self.partials = partials
         if setup is not None:
             self.__dict__["setup"] = setup
             self.__dict__["groups"] = setup.select("cim_id", "rec_group").distinct()
@@ -44,19 +50,19 @@ class DailyRun:
     # --- inputs -----------------------------------------------------------------------------------
     @cached_property
     def alias(self) -> DataFrame:
-        return fx.alias(self.spark, self.d)
+        return self.src.table("alias")
 
     @cached_property
     def alias_type(self) -> DataFrame:
-        return fx.alias_type(self.spark)
+        return self.src.table("alias_type")
 
     @cached_property
     def posts(self) -> DataFrame:
-        return fx.posts(self.spark, self.d)
+        return self.src.table("posts")
 
     @cached_property
     def postmeta(self) -> DataFrame:
-        return fx.postmeta(self.spark, self.d)
+        return self.src.table("postmeta")
 
     # --- initial set-up ---------------------------------------------------------------------------
     @cached_property
@@ -65,7 +71,7 @@ class DailyRun:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        e = identity.eligible_cohort(fx.email_engagement(self.spark, self.d), fx.sessions(self.spark, self.d),
+        e = identity.eligible_cohort(self.src.table("email_engagement"), self.src.table("sessions"),
                                      self.alias, self.orders_as_of, self.p.lookback_days)
         return materialize(e.withColumn("total_commission", F.round("total_commission", 6)))
 
@@ -78,9 +84,11 @@ class DailyRun:
     def _activity(self, ident: DataFrame, prefilter: bool = False):
         lb = self.p.lookback_days
         keys = interactions.cohort_keys(ident, self.p.max_broadcast_rows) if prefilter else None
-        v = interactions.page_views(ident, fx.views(self.spark, self.d), self.as_of, lb, keys)
-        c = interactions.link_clicks(ident, fx.clicks(self.spark, self.d), self.as_of, lb, keys)
-        o = interactions.orders(ident, fx.commission(self.spark, self.d), self.as_of, lb, keys)
+        if prefilter and self.partials is not None:
+            return tuple(interactions.merge_partials(k, ident, self.partials[k], self.as_of, lb, keys) for k in interactions.MEASURES)
+        v = interactions.page_views(ident, self.src.parts("views"), self.as_of, lb, keys)
+        c = interactions.link_clicks(ident, self.src.parts("clicks"), self.as_of, lb, keys)
+        o = interactions.orders(ident, self.src.parts("commission"), self.as_of, lb, keys)
         return v, c, o
 
     @cached_property
@@ -124,7 +132,7 @@ class DailyRun:
 
     @cached_property
     def seed_log(self) -> DataFrame:
-        return fx.seed_log(self.spark, self.d)
+        return self.src.table("seed_log")
 
     @cached_property
     def interactions(self) -> DataFrame:
@@ -142,7 +150,7 @@ class DailyRun:
 
     @cached_property
     def post_versions(self) -> DataFrame:
-        return fx.post_versions(self.spark, self.d)
+        return self.src.table("post_versions")
 
     @cached_property
     def content(self) -> DataFrame:
@@ -150,12 +158,12 @@ class DailyRun:
 
     @cached_property
     def permalink(self) -> DataFrame:
-        return posts.post_permalink(self.posts, self.postmeta, fx.options(self.spark), self.base,
+        return posts.post_permalink(self.posts, self.postmeta, self.src.table("options"), self.base,
                                     self.p.max_broadcast_rows)
 
     @cached_property
     def categories(self) -> DataFrame:
-        return posts.post_categories(fx.categories(self.spark, self.d), self.base, self.p.category_exclude_pattern,
+        return posts.post_categories(self.src.table("categories"), self.base, self.p.category_exclude_pattern,
                                      self.p.max_broadcast_rows)
 
     @cached_property
@@ -263,8 +271,8 @@ class DailyRun:
     # --- production and feeds ---------------------------------------------------------------------
     def subscribers_for(self, staging: DataFrame, active_only: bool) -> DataFrame:
         cap = self.p.max_broadcast_rows  # staging users come from the sample: counted, then broadcast
-        emails = identity.latest_email(fx.email_engagement(self.spark, self.d), staging.select("cim_id"), cap)
-        return identity.latest_subscriber(fx.subscribers(self.spark, self.d), emails, active_only, cap)
+        emails = identity.latest_email(self.src.table("email_engagement"), staging.select("cim_id"), cap)
+        return identity.latest_subscriber(self.src.table("subscribers"), emails, active_only, cap)
 
     @cached_property
     def images(self) -> DataFrame:
@@ -325,58 +333,92 @@ class DailyRun:
                                          k=self.p.hosted_recs, seed=self.p.split_seed)
 
 
-def run_initial_setup(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT) -> dict[str, str]:
+def store_partials(sources: Sources, path: str, lookback_days: int, late_days: int = 1, again: tuple = ()) -> dict[str, DataFrame]:
+    """Day partials of views, clicks and orders, kept from run to run (one published part a day); returned by kind.
+
+    A run reads the raw events of days that are not stored yet, of the run day and the ``late_days`` before it, whose
+    events may still come in, and of the days in ``again`` (older days of which late events are known); their
+    partials are replaced.  All other days of the window come from the stored partials.
+    """
+    spark, end = sources.spark, sources.as_of.date()
+    start = lookback_start(sources.as_of, lookback_days).date()
+    out = {}
+    for kind in interactions.MEASURES:
+        base = f"{path.rstrip('/')}/{kind}"
+        known = {d for d in versions.current(spark, base) or {} if d >= str(start)}
+        days = [start + timedelta(days=i) for i in range((end - start).days + 1)]
+        need = [d for d in days if str(d) not in known or (end - d).days <= late_days or d in again]
+        for first, last in _ranges(need):  # neighbouring days are read in one scan
+            part = interactions.day_partials(kind, sources.parts(kind), first, None if last == end else last + timedelta(days=1))
+            names = [str(first + timedelta(days=i)) for i in range((last - first).days + 1)]
+            # the run day's part also takes what is dated later
+            versions.publish_parts(part, base, F.least(F.col("day"), F.lit(end)).cast("string"), names)
+        stored = versions.read_published(spark, base)
+        out[kind] = stored if stored is not None else interactions.day_partials(kind, sources.parts(kind), end).limit(0)
+    return out
+
+
+def _ranges(days: list) -> list[tuple]:
+    """First and last of each run of neighbouring days."""
+    out: list[list] = []
+    for d in days:
+        if out and (d - out[-1][1]).days == 1:
+            out[-1][1] = d
+        else:
+            out.append([d, d])
+    return [tuple(r) for r in out]
+
+
+def run_initial_setup(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT,
+                      sources: Sources | None = None) -> dict[str, str]:
     """The one-off set-up: sampled groups with their rated pairs, the day-one seed history
     (a dummy row per user) and the empty, typed production tables."""
     from ..schemas import HOSTED_PRODUCTION, PRODUCTION
     from ..sources import io
 
-    run = DailyRun(spark, sf_dir, params)
+    run = DailyRun(spark, sf_dir, params, sources=sources)
     paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in
              ("groups_interactions_setup", "post_prev_rec", "daily_rec_production", "hosted_rec_production")}
-    io.replace_table(run.setup, paths["groups_interactions_setup"])
+    versions.publish(run.setup, paths["groups_interactions_setup"])
     day_one = run.as_of - timedelta(days=366)  # sorts before every run date
     io.append_seed_log(run.seed_init, paths["post_prev_rec"], day_one)
-    io.empty_table(spark, PRODUCTION).write.mode("overwrite").parquet(paths["daily_rec_production"])
-    io.empty_table(spark, HOSTED_PRODUCTION).write.mode("overwrite").parquet(paths["hosted_rec_production"])
+    io.append_batch(io.empty_table(spark, PRODUCTION), paths["daily_rec_production"], day_one)
+    io.append_batch(io.empty_table(spark, HOSTED_PRODUCTION), paths["hosted_rec_production"], day_one)
     return paths
 
 
-def _history_before(spark: SparkSession, path: str, as_of) -> DataFrame | None:
-    """Seed history strictly before the run date, so re-running a day never counts its own seeds."""
-    from ..sources import io
-
-    h = io.read_if_written(spark, path)
-    return None if h is None else h.filter(F.col("send_date") < F.lit(str(as_of)[:10]))
-
-
-def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT) -> dict[str, str]:
+def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams = DEFAULT, sources: Sources | None = None,
+              again: tuple = ()) -> dict[str, str]:
     """Materialise the day's tables under ``out_dir`` (a shared folder) and return their paths.
 
     The hand-offs follow the original jobs: recommendations leave as a staging
     CSV and come back through its declared schema; the production batch is
-    appended to a history partitioned by send date (a re-run replaces that
+    published in a history by send date (a re-run replaces that
     day); the current feed is the newest import of that history; the seed
-    history is appended the same way.  Written tables cut the lineage between steps.
+    history is published the same way.  Readers of published tables (``versions.read_published``) see them whole.
+    Events are read by day: only days without stored partials, late days and ``again`` are read from the raw tables.
     """
     from ..params import HOSTED_STAGING_COLUMNS, STAGING_COLUMNS
-    from ..schemas import HOSTED_STAGING, STAGING
+    from ..schemas import EVENT_EXPORT, HOSTED_STAGING, ITEM_EXPORT, STAGING
     from ..sources import io
 
     steps_before = step_tables()
     base_dir = out_dir.rstrip("/")
-    as_of = fx.as_of(spark, sf_dir)
-    history = _history_before(spark, f"{base_dir}/post_prev_rec", as_of)
-    setup = io.read_if_written(spark, f"{base_dir}/groups_interactions_setup")  # none: derived in this run
-    run = DailyRun(spark, sf_dir, params, setup=setup, seed_history=history)
+    sources = sources or fixture_sources(spark, sf_dir)
+    as_of = sources.as_of
+    # strictly before the run date, so re-running a day never counts its own seeds
+    history = versions.read_published(spark, f"{base_dir}/post_prev_rec", before=str(as_of)[:10])
+    setup = versions.read_published(spark, f"{base_dir}/groups_interactions_setup")  # none: derived in this run
+    partials = store_partials(sources, f"{base_dir}/event_days", params.lookback_days, params.late_days, again)
+    run = DailyRun(spark, sf_dir, params, setup=setup, seed_history=history, sources=sources, partials=partials)
     names = ("interactions_daily", "rec_post_meta", "daily_rec_staging_csv", "post_prev_rec", "daily_rec_production",
              "final_feed", "outbound_feed_csv", "interactions_export_csv", "item_export_csv",
              "hosted_rec_staging_csv", "hosted_rec_production", "hosted_final_feed", "hosted_outbound_feed_csv")
     paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in names}
-    io.replace_table(run.interactions, paths["interactions_daily"])
-    run.__dict__["interactions"] = spark.read.parquet(paths["interactions_daily"])
-    io.replace_table(run.meta, paths["rec_post_meta"])
-    run.__dict__["meta"] = spark.read.parquet(paths["rec_post_meta"])
+    versions.publish(run.interactions, paths["interactions_daily"])
+    run.__dict__["interactions"] = versions.read_published(spark, paths["interactions_daily"])
+    versions.publish(run.meta, paths["rec_post_meta"])
+    run.__dict__["meta"] = versions.read_published(spark, paths["rec_post_meta"])
 
     # In-house path: staging CSV -> production history -> current feed -> outbound CSV.
     io.write_csv(run.factor_recs.select(*STAGING_COLUMNS), paths["daily_rec_staging_csv"], order_by=["cim_id", "post_order"])
@@ -384,26 +426,28 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     io.append_seed_log(hybrid.seed_log_rows(run.seeds), paths["post_prev_rec"], run.as_of)
     batch = feed.production_batch(staging, run.subscribers_for(staging, True), run.images, run.titles, run.as_of,
                                   params.local_tz)
-    io.append_batch(batch, paths["daily_rec_production"])
-    current = feed.current_feed(spark.read.parquet(paths["daily_rec_production"]), FEED_LABEL_IN_HOUSE)
-    io.replace_table(current, paths["final_feed"])
-    out = feed.outbound_feed(spark.read.parquet(paths["final_feed"]), run.alias, OUTBOUND_POST_TYPE_IN_HOUSE,
+    io.append_batch(batch, paths["daily_rec_production"], run.as_of)
+    current = feed.current_feed(versions.read_published(spark, paths["daily_rec_production"]), FEED_LABEL_IN_HOUSE)
+    versions.publish(current, paths["final_feed"])
+    out = feed.outbound_feed(versions.read_published(spark, paths["final_feed"]), run.alias, OUTBOUND_POST_TYPE_IN_HOUSE,
                              params.cdn_marker, params.cdn_prefix, params.max_broadcast_rows)
     io.write_csv(out.drop("last_used_datetime"), paths["outbound_feed_csv"], order_by=["email", "subscriber_id", "position"])
 
     # Hosted-style path: exports (P18), recommendations (P19), the same delivery.
-    io.write_csv(run.event_export.drop("max_date"), paths["interactions_export_csv"],
-                 order_by=["user_id", "item_id"])  # (user, item) is unique: no further tie-break needed
-    io.write_csv(run.item_export, paths["item_export_csv"])
+    events = run.event_export.select(*(F.col(f.name).cast(f.dataType) for f in EVENT_EXPORT))
+    items = run.item_export.select(*(F.col(f.name).cast(f.dataType) for f in ITEM_EXPORT))
+    io.write_csv(events, paths["interactions_export_csv"], order_by=["user_id", "item_id"],
+                 single_file=False)  # (user, item) is unique: no further tie-break needed
+    io.write_csv(items, paths["item_export_csv"], order_by=["item_id"], single_file=False)
     io.write_csv(run.hosted_recs.select(*HOSTED_STAGING_COLUMNS), paths["hosted_rec_staging_csv"],
                  order_by=["cim_id", "post_order"])
     hstaging = io.read_csv(spark, paths["hosted_rec_staging_csv"], HOSTED_STAGING)
     hbatch = feed.production_batch(hstaging, run.subscribers_for(hstaging, False), run.images, run.titles,
                                    run.as_of, params.local_tz)
-    io.append_batch(hbatch, paths["hosted_rec_production"])
-    hcurrent = feed.current_feed(spark.read.parquet(paths["hosted_rec_production"]), FEED_LABEL_HOSTED)
-    io.replace_table(hcurrent, paths["hosted_final_feed"])
-    hout = feed.outbound_feed(spark.read.parquet(paths["hosted_final_feed"]), run.alias, OUTBOUND_POST_TYPE_HOSTED,
+    io.append_batch(hbatch, paths["hosted_rec_production"], run.as_of)
+    hcurrent = feed.current_feed(versions.read_published(spark, paths["hosted_rec_production"]), FEED_LABEL_HOSTED)
+    versions.publish(hcurrent, paths["hosted_final_feed"])
+    hout = feed.outbound_feed(versions.read_published(spark, paths["hosted_final_feed"]), run.alias, OUTBOUND_POST_TYPE_HOSTED,
                               params.cdn_marker, params.cdn_prefix, params.max_broadcast_rows)
     io.write_csv(hout.drop("last_used_datetime"), paths["hosted_outbound_feed_csv"],
                  order_by=["email", "subscriber_id", "position"])

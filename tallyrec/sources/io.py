@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .versions import publish
+
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -25,15 +27,39 @@ CSV_OPTIONS = {
 
 
 def write_csv(df: DataFrame, path: str, order_by: list[str] | None = None, single_file: bool = True) -> None:
-    """SNK5 / SNK6: one ordered CSV with a header, overwriting.  Collapsing to one
-    partition happens only here, at the exchange boundary; ``single_file=False``
-    keeps the parallel layout for large exports."""
-    out = df
-    if single_file:
-        out = out.repartition(1)  # an exchange, so the work above it stays parallel
-    if order_by:
-        out = out.sortWithinPartitions(*order_by)
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """SNK5 / SNK6: CSV with a header, in the order of ``order_by``, overwriting.
+
+    Rows are sorted over ranges and written by as many tasks as there are ranges.  With ``single_file`` (the exchange
+    boundary) these parts, headerless, are then joined byte by byte, in order, behind one header: no task holds or
+    sorts all rows.  Without it each part keeps its own header, and the parts' names follow the order (large exports).
+    """
+    import uuid
+
+    path = path.rstrip("/")
+    out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
+    if not single_file:
+        out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+        return
+    spark = df.sparkSession
+    parts = f"{path}.parts-{uuid.uuid4().hex[:8]}"
+    out.write.options(**{**CSV_OPTIONS, "header": "false"}).csv(parts)
+    fs, folder = _folder(spark, parts)
+    names = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    fresh = f"{path}.new-{uuid.uuid4().hex[:8]}"
+    target = fs.create(_folder(spark, f"{fresh}/part-00000.csv")[1], False)
+    try:
+        quoted = (c.replace('"', '""') for c in df.columns)
+        target.write(bytearray((",".join(f'"{c}"' if set(c) & set(',"\n') else c for c in quoted) + "\n").encode()))
+        for name in names:  # in the order of the ranges
+            source = fs.open(_folder(spark, f"{parts}/{name}")[1])
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, target, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        target.close()
+    fs.delete(folder, True)
+    _swap(spark, fresh, path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -59,41 +85,45 @@ def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if fs.exists(p) else None
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """SNK2: rebuild a derived table (parquet).
-
-    The rows go to a fresh folder first, which then takes the old one's place by renaming: a failed
-    write leaves the old table as it was.
-    """
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Let the folder ``fresh`` take the place of ``path``; if that fails the old folder stands where it was."""
     import uuid
 
-    path = path.rstrip("/")
-    fresh, old = (f"{path}.{part}-{uuid.uuid4().hex[:8]}" for part in ("new", "old"))
-    df.write.parquet(fresh)
-    fs, target = _folder(df.sparkSession, path)
+    old = f"{path}.old-{uuid.uuid4().hex[:8]}"
+    fs, target = _folder(spark, path)
     had = fs.exists(target)
-    if had and not fs.rename(target, _folder(df.sparkSession, old)[1]):
+    if had and not fs.rename(target, _folder(spark, old)[1]):
         raise OSError(f"cannot move {path} aside")
-    if not fs.rename(_folder(df.sparkSession, fresh)[1], target):
+    if not fs.rename(_folder(spark, fresh)[1], target):
+        if had:
+            fs.rename(_folder(spark, old)[1], target)
         raise OSError(f"cannot move the new table to {path}")
     if had:
-        fs.delete(_folder(df.sparkSession, old)[1], True)
+        fs.delete(_folder(spark, old)[1], True)
 
 
-def append_batch(df: DataFrame, path: str, partition_col: str = "send_date") -> None:
-    """SNK4: append one day's batch to a history table, idempotently.
+def replace_table(df: DataFrame, path: str) -> None:
+    """SNK2: rebuild a derived table (parquet) that no reader follows while it is written.
 
-    The history is partitioned by ``partition_col``; dynamic partition
-    overwrite replaces only the partitions present in ``df``, so re-running a
-    day does not double count it.
+    The rows go to a fresh folder first, which then takes the old one's place by renaming: a failed
+    write leaves the old table as it was.  Tables with readers are published (``versions.publish``).
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    import uuid
+
+    path = path.rstrip("/")
+    fresh = f"{path}.new-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(fresh)
+    _swap(df.sparkSession, fresh, path)
+
+
+def append_batch(df: DataFrame, path: str, send_date) -> None:
+    """SNK4: publish one day's batch of a history; a re-run of the day replaces it, and readers never see half of it."""
+    publish(df, path, str(send_date)[:10])
 
 
 def append_seed_log(seeds: DataFrame, path: str, send_date) -> None:
     """Seed history append (P17): tagged with the run date so a re-run replaces, not repeats."""
-    append_batch(seeds.withColumn("send_date", F.lit(str(send_date)[:10])), path, "send_date")
+    append_batch(seeds.withColumn("send_date", F.lit(str(send_date)[:10])), path, send_date)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

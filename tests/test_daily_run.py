@@ -7,6 +7,7 @@ from dataclasses import replace
 from tallyrec.params import DEFAULT
 from tallyrec.plans.daily import run_daily, run_initial_setup
 from tallyrec.session import scratch_path
+from tallyrec.sources.versions import read_published
 
 from conftest import SMALL
 
@@ -21,17 +22,17 @@ def test_setup_then_daily_is_idempotent(spark):
     run_initial_setup(spark, SMALL, out, params)
     paths = run_daily(spark, SMALL, out, params)
     recs1 = recommended(paths["daily_rec_staging_csv"])
-    hist1 = spark.read.parquet(paths["post_prev_rec"])
+    hist1 = read_published(spark, paths["post_prev_rec"])
     days = hist1.select("send_date").distinct().count()
     n1 = hist1.count()
     run_daily(spark, SMALL, out, params)
     recs2 = recommended(paths["daily_rec_staging_csv"])
-    hist2 = spark.read.parquet(paths["post_prev_rec"])
+    hist2 = read_published(spark, paths["post_prev_rec"])
     assert days == 2 and hist2.count() == n1 > 0       # day one + the run date, not doubled
     assert recs1 == recs2 and len(recs1) > 0           # the re-run sees the same history
-    prod = spark.read.parquet(paths["daily_rec_production"])
+    prod = read_published(spark, paths["daily_rec_production"])
     assert prod.select("send_date").distinct().count() == 1
     csv_files = [f for f in os.listdir(paths["outbound_feed_csv"].replace("file:", "")) if f.endswith(".csv")]
     assert len(csv_files) == 1
-    assert spark.read.parquet(paths["final_feed"]).count() > 0
-    assert spark.read.parquet(paths["hosted_final_feed"]).count() > 0
+    assert read_published(spark, paths["final_feed"]).count() > 0
+    assert read_published(spark, paths["hosted_final_feed"]).count() > 0
