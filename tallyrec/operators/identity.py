@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import lookback_start, ntz
-from .joins import keep_keys
+from ..params import HEAVY_ALIAS
+from .joins import heavy_keys, join_owners, keep_keys
 
 
 def employee_flags(alias: DataFrame, alias_type: DataFrame, pattern: str) -> DataFrame:
@@ -43,17 +44,20 @@ def anonymous_ids(identity: DataFrame) -> DataFrame:
 
 
 def eligible_cohort(engagement: DataFrame, sessions: DataFrame, identity: DataFrame,
-                    orders_as_of: dt.datetime, lookback_days: int = 28) -> DataFrame:
+                    orders_as_of: dt.datetime, lookback_days: int = 28, heavy_alias: int = HEAVY_ALIAS,
+                    max_keys: int | None = None) -> DataFrame:
     """Latest e-mail file, most likely clickers, not employees, commission > 0 in the window.
 
     Sessions are pre-aggregated per anonymous id before they meet the alias
-    map, so a hot anonymous id costs one row per task, not one per session.
+    map, so a hot anonymous id costs one row per task, not one per session.  An alias of more than
+    ``heavy_alias`` users is split (``joins.join_owners``).
     """
     start = ntz(lookback_start(orders_as_of, lookback_days))
     per_anon = (sessions.filter(F.col("session_start_at") >= start)
                 .groupBy("anonymous_id").agg(F.sum("total_commission").alias("total_commission")))
-    ids = identity.select("cim_id", "alias_value")
-    commission = (per_anon.join(ids, per_anon.anonymous_id == ids.alias_value)
+    ids = identity.select("cim_id", F.col("alias_value").alias("anonymous_id"))
+    heavy = heavy_keys(ids, "anonymous_id", heavy_alias, max_keys)
+    commission = (join_owners(per_anon, ids, "anonymous_id", heavy, "cim_id")
                   .groupBy("cim_id").agg(F.sum("total_commission").alias("total_commission")))
     latest = engagement.select(F.max("file_name_date")).scalar()
     e = engagement.filter(

@@ -160,6 +160,26 @@ def implicit_recs(events: DataFrame, meta: DataFrame, weights: dict, k: int = 20
     return recommend_unexpired(model, uids, iids, meta, k, items)
 
 
+def explain_hosted(recs: DataFrame, events: DataFrame, titles: DataFrame) -> DataFrame:
+    """ML17 for the hosted group: what a user clicked or ordered next to what is recommended to the user, as rows.
+
+    ``part`` is 'clicked or ordered' (the titles of those posts, newest first) or 'recommended' (the list in its order);
+    ``position`` counts from 1 within the part.  ``titles``: post_id, post_title, permalink.  Users of ``recs`` only;
+    a user's events are one row a post of the look-back window.
+    """
+    users = recs.select("cim_id").distinct()
+    done = (events.filter(F.col("event_type").isin(EVENT_CLICK, EVENT_ORDER))
+            .select(F.col("user_id").alias("cim_id"), F.col("item_id").alias("post_id"), "event_type", "timestamp")
+            .join(users, "cim_id", "left_semi"))
+    place = F.row_number().over(Window.partitionBy("cim_id").orderBy(F.desc("timestamp"), F.asc("post_id")))
+    past = done.select("cim_id", F.lit("clicked or ordered").alias("part"), place.alias("position"), "post_id",
+                       "event_type", F.lit(None).cast("double").alias("score"))
+    listed = recs.select("cim_id", F.lit("recommended").alias("part"), F.col("post_order").alias("position"), "post_id",
+                         F.lit(None).cast("string").alias("event_type"), F.col("score").cast("double").alias("score"))
+    return past.unionByName(listed).join(titles.select("post_id", "post_title", "permalink"), "post_id", "left").select(
+        "cim_id", "part", "position", "post_id", "event_type", "score", "post_title", "permalink")
+
+
 def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: dt.datetime, holdout_days: int = 7,
                      k: int = 20, rank: int = 10, max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0,
                      seed: int = 14) -> DataFrame:
@@ -168,8 +188,6 @@ def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: d
     Every held-out user and item counts: an item that the model has not seen is a miss, and a user
     that it has not seen gets no recommendation.
     """
-    from pyspark.ml.evaluation import RankingEvaluator
-
     start = ntz(lookback_start(as_of, holdout_days))
     train_ev = events.filter(F.col("max_date") < start)
     test_ev = events.filter(F.col("max_date") >= start)
@@ -188,13 +206,21 @@ def implicit_metrics(events: DataFrame, meta: DataFrame, weights: dict, as_of: d
         "uid", F.transform("recommendations", lambda r: r["iid"].cast("double")).alias("prediction"))
     none = F.array().cast("array<double>")
     recs = truth.join(recs, "uid", "left").withColumn("prediction", F.coalesce("prediction", none))
-    data = materialize(recs)  # three metrics read it; compute it once
+    return ranking_metrics(recs, k)
+
+
+def ranking_metrics(lists: DataFrame, k: int = 20) -> DataFrame:
+    """ML19 from given lists: one row of precision@k, NDCG@k and MAP over the rows of ``lists`` (``prediction``: ranked
+    items as doubles; ``label``: the relevant ones).  MAP looks at whole lists; without rows the metrics are NaN."""
+    from pyspark.ml.evaluation import RankingEvaluator
+
+    data = materialize(lists.select("prediction", "label"))  # three metrics read it; compute it once
     out = {}
     for metric in ("precisionAtK", "ndcgAtK", "meanAveragePrecision"):
         ev_ = RankingEvaluator(metricName=metric, k=k, predictionCol="prediction", labelCol="label")
         out[metric] = float(ev_.evaluate(data)) if data.take(1) else float("nan")
-    n_users = truth.count()
-    return events.sparkSession.createDataFrame(
+    n_users = data.count()
+    return lists.sparkSession.createDataFrame(
         [(round(out["precisionAtK"], 6), round(out["ndcgAtK"], 6), round(out["meanAveragePrecision"], 6), k,
           int(n_users))],
         "precision_at_k double, ndcg_at_k double, map double, k int, n_users long")

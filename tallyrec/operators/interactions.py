@@ -15,6 +15,7 @@ from ..functions.time import lookback_start, ntz
 from ..params import DUMMY_SEED_POST, GROUP_CONTROL, GROUP_EDGES, GROUP_HOSTED, GROUP_IN_HOUSE
 from ..session import materialize
 from .identity import anonymous_ids
+from .joins import heavy_keys, join_owners
 
 KEYS = ["cim_id", "post_id"]
 
@@ -32,8 +33,13 @@ def cohort_keys(identity: DataFrame, max_ids: int) -> DataFrame | None:
     return F.broadcast(keys) if keys.count() <= max_ids else None
 
 
+def heavy_ids(identity: DataFrame, most: int, max_keys: int) -> DataFrame | None:
+    """Anonymous ids that more than ``most`` alias rows share (T19: their events count for every user); None if none is."""
+    return heavy_keys(anonymous_ids(identity).withColumnRenamed("alias_value", "anonymous_id"), "anonymous_id", most, max_keys)
+
+
 def _events_per_user_post(identity: DataFrame, events: DataFrame, aggs: dict,
-                          prefilter: DataFrame | None = None) -> DataFrame:
+                          prefilter: DataFrame | None = None, heavy: DataFrame | None = None) -> DataFrame:
     """Pre-aggregate per (anonymous id, post), then map to users and aggregate again.
 
     The first aggregate is partial per task (map-side combine), so a hot
@@ -41,12 +47,13 @@ def _events_per_user_post(identity: DataFrame, events: DataFrame, aggs: dict,
 
     ``prefilter``: a small key frame from ``cohort_keys``; the events are
     semi-joined against it at the scan, before any aggregation or shuffle.
+    ``heavy``: shared ids from ``heavy_ids``, whose users and posts are split over tasks.
     """
-    ids = anonymous_ids(identity)
+    ids = anonymous_ids(identity).withColumnRenamed("alias_value", "anonymous_id")
     if prefilter is not None:
         events = events.join(prefilter, "anonymous_id", "left_semi")
     first = events.groupBy("anonymous_id", "post_id").agg(*[f(c).alias(n) for n, (f, c, _) in aggs.items()])
-    joined = first.join(ids, first.anonymous_id == ids.alias_value)
+    joined = join_owners(first, ids, "anonymous_id", heavy, "cim_id", "post_id")
     return joined.groupBy(*KEYS).agg(*[g(n).alias(n) for n, (_, _, g) in aggs.items()])
 
 
@@ -79,36 +86,36 @@ def day_partials(kind: str, sources: DataFrame | Sequence[DataFrame], since: dt.
 
 
 def merge_partials(kind: str, identity: DataFrame, partials: DataFrame, as_of: dt.datetime, lookback_days: int = 28,
-                   prefilter: DataFrame | None = None) -> DataFrame:
+                   prefilter: DataFrame | None = None, heavy: DataFrame | None = None) -> DataFrame:
     """P3-P5 from the day partials of the look-back window instead of raw events."""
     days = partials.filter(F.col("day") >= F.lit(lookback_start(as_of, lookback_days).date()))
     merged = {n: (g, n, g) for n, (_, _, g) in MEASURES[kind].items()}
-    return _events_per_user_post(identity, days, merged, prefilter).select(*KEYS, *MEASURES[kind])
+    return _events_per_user_post(identity, days, merged, prefilter, heavy).select(*KEYS, *MEASURES[kind])
 
 
 def _from_events(kind: str, identity: DataFrame, sources, as_of: dt.datetime, lookback_days: int,
-                 prefilter: DataFrame | None) -> DataFrame:
+                 prefilter: DataFrame | None, heavy: DataFrame | None) -> DataFrame:
     cols = ["anonymous_id", "post_id", EVENT_TIME[kind]] + ["order_count"] * (kind == "commission")
     ev = _counted(kind, _union(sources, cols).filter(F.col(EVENT_TIME[kind]) >= ntz(lookback_start(as_of, lookback_days))))
-    return _events_per_user_post(identity, ev, MEASURES[kind], prefilter).select(*KEYS, *MEASURES[kind])
+    return _events_per_user_post(identity, ev, MEASURES[kind], prefilter, heavy).select(*KEYS, *MEASURES[kind])
 
 
 def page_views(identity: DataFrame, sources: DataFrame | Sequence[DataFrame], as_of: dt.datetime,
-               lookback_days: int = 28, prefilter: DataFrame | None = None) -> DataFrame:
+               lookback_days: int = 28, prefilter: DataFrame | None = None, heavy: DataFrame | None = None) -> DataFrame:
     """cim_id, post_id, max_date, page_view_count over all channels."""
-    return _from_events("views", identity, sources, as_of, lookback_days, prefilter)
+    return _from_events("views", identity, sources, as_of, lookback_days, prefilter, heavy)
 
 
 def link_clicks(identity: DataFrame, sources: DataFrame | Sequence[DataFrame], as_of: dt.datetime,
-                lookback_days: int = 28, prefilter: DataFrame | None = None) -> DataFrame:
+                lookback_days: int = 28, prefilter: DataFrame | None = None, heavy: DataFrame | None = None) -> DataFrame:
     """cim_id, post_id, outgoing_link_click_count."""
-    return _from_events("clicks", identity, sources, as_of, lookback_days, prefilter)
+    return _from_events("clicks", identity, sources, as_of, lookback_days, prefilter, heavy)
 
 
 def orders(identity: DataFrame, commission: DataFrame | Sequence[DataFrame], as_of: dt.datetime, lookback_days: int = 28,
-           prefilter: DataFrame | None = None) -> DataFrame:
+           prefilter: DataFrame | None = None, heavy: DataFrame | None = None) -> DataFrame:
     """P5: cim_id, post_id, order_count.  Null post ids are kept here (they never join later)."""
-    return _from_events("commission", identity, commission, as_of, lookback_days, prefilter)
+    return _from_events("commission", identity, commission, as_of, lookback_days, prefilter, heavy)
 
 
 def group_of(bucket) -> "F.Column":

@@ -104,8 +104,10 @@ def post_permalink(posts: DataFrame, postmeta: DataFrame, options: DataFrame, ba
         _sid("post_id").alias("post_id"), "post_date",
         F.btrim(F.replace(F.col("meta_value"), F.lit("http:"), F.lit("https:")), F.lit("/")).alias("permalink"),
         "post_type")
-    u = a.unionByName(b).distinct()
-    return keep_keys(u, base.select("post_id"), "post_id", max_keys).select("post_id", "permalink")
+    u = keep_keys(a.unionByName(b), base.select("post_id"), "post_id", max_keys)
+    # One row a post, so that metadata and recommendations do not multiply; the newest date, then the last link
+    return u.groupBy("post_id").agg(
+        F.max_by("permalink", F.struct("post_date", "permalink")).alias("permalink"))
 
 
 def post_categories(categories: DataFrame, base: DataFrame, exclude_pattern: str,
@@ -142,8 +144,9 @@ def post_meta(base: DataFrame, permalink: DataFrame, content: DataFrame, cats: D
     )
 
 
-def post_image(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
-    """Image URL of a post's thumbnail (the attachment's guid).
+def post_image(posts: DataFrame, postmeta: DataFrame, wanted: DataFrame | None = None,
+               max_keys: int | None = None) -> DataFrame:
+    """Image URL of a post's thumbnail (the attachment's guid); of the ``wanted`` post ids only, if given.
 
     The thumbnail id is text; ``try_cast`` keeps junk such as 'none' from
     failing the job and simply finds no attachment.
@@ -152,12 +155,20 @@ def post_image(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
         F.col("id").alias("pl_id"))
     pm = postmeta.filter(F.col("meta_key") == "_thumbnail_id").select(
         F.col("post_id").alias("pl_id"), F.expr("try_cast(meta_value AS BIGINT)").alias("thumb_id"))
+    if wanted is not None:
+        ids = wanted.select(F.col("post_id").cast("string").alias("_id"))
+        pl = keep_keys(pl.withColumn("_id", _sid("pl_id")), ids, "_id", max_keys).drop("_id")
+        pm = keep_keys(pm.withColumn("_id", _sid("pl_id")), ids, "_id", max_keys).drop("_id")
     att = posts.filter(F.col("guid").isNotNull()).select(F.col("id").alias("thumb_id"), "guid")
     j = pl.join(pm, "pl_id").join(att, "thumb_id")
     return j.groupBy("pl_id").agg(F.max("guid").alias("guid")).select(_sid("pl_id").alias("post_id"), "guid")
 
 
-def newest_title(post_versions: DataFrame) -> DataFrame:
-    """JN12: the title of each post's newest version (``max_by`` instead of a correlated LIMIT 1)."""
-    return post_versions.groupBy(_sid().alias("post_id")).agg(
+def newest_title(post_versions: DataFrame, wanted: DataFrame | None = None, max_keys: int | None = None) -> DataFrame:
+    """JN12: the title of each post's newest version (``max_by`` instead of a correlated LIMIT 1), of the ``wanted``
+    post ids only, if given."""
+    v = post_versions.select(_sid().alias("post_id"), "post_title", "post_date")
+    if wanted is not None:
+        v = keep_keys(v, wanted.select(F.col("post_id").cast("string").alias("post_id")), "post_id", max_keys)
+    return v.groupBy("post_id").agg(
         F.max_by("post_title", F.struct("post_date", "post_title")).alias("post_title"))

@@ -52,16 +52,23 @@ def with_text(meta: DataFrame, title_prefix_pattern: str) -> DataFrame:
 
 
 def doc_tokens(docs: DataFrame, spark: SparkSession, extra_stop_words=(), lemmas: DataFrame | None = None,
-               text_col: str = "soup") -> DataFrame:
+               text_col: str = "soup", max_keys: int | None = None) -> DataFrame:
     """ML1-ML3: (post_id, term, tf).  Split on spaces, strip punctuation inside tokens,
-    map through the lemma dictionary (if any), drop stop words, count per post."""
+    map through the lemma dictionary (if any), drop stop words, count per post.
+
+    ``lemmas``: (token, lemma); of several lemmas of a token the first in order is taken, null ones do not count.  The
+    dictionary is counted and broadcast only within ``max_keys``.
+    """
     # Space is not punctuation, so stripping punctuation from the whole text before the split
     # gives exactly the per-token result with one regex call per document instead of per token.
     words = F.split(T.strip_punctuation(F.col(text_col)), " ")
     tok = docs.select("post_id", F.explode(words).alias("term")).filter(F.col("term") != "")
     sw = spark.createDataFrame([(w,) for w in stop_words(extra_stop_words)], "term string")
     if lemmas is not None:
-        lem = F.broadcast(lemmas.select(F.col("token").alias("term"), "lemma"))
+        lem = (lemmas.filter(F.col("token").isNotNull() & F.col("lemma").isNotNull())
+               .groupBy(F.col("token").alias("term")).agg(F.min("lemma").alias("lemma")))
+        if max_keys is not None and lem.count() <= max_keys:
+            lem = F.broadcast(lem)
         tok = tok.join(lem, "term", "left").select("post_id", F.coalesce("lemma", "term").alias("term"))
         sw = sw.join(lem, "term", "left").select(F.coalesce("lemma", "term").alias("term"))
     tok = tok.join(F.broadcast(sw.distinct()), "term", "left_anti")

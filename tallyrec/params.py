@@ -35,6 +35,7 @@ LOOKBACK_DAYS = 28
 EXPIRY_GRACE_HOURS = 8
 LOCAL_TZ = "America/Denver"
 SAMPLE_USERS = 3000
+HEAVY_ALIAS = 20_000  # alias rows of one value above which its users are split over tasks
 VOCABULARY_SIZE = 500
 SEEDS_PER_USER = 1
 CONTENT_CANDIDATES = 42
@@ -63,12 +64,14 @@ class RunParams:
     cdn_marker: str = "/wp-content"
     cdn_prefix: str = "https://cdn.example.com/wp-content"
     category_exclude_pattern: str = CATEGORY_EXCLUDE_PATTERN
+    lemma_path: str | None = None  # Parquet table (token, lemma); none: tokens stay as they are
     extra_stop_words: tuple[str, ...] = tuple(EXTRA_STOP_WORDS)
     lookback_days: int = LOOKBACK_DAYS
     late_days: int = 1  # days before the run day whose events are read again
     grace_hours: int = EXPIRY_GRACE_HOURS
     local_tz: str = LOCAL_TZ
     sample_users: int = SAMPLE_USERS
+    heavy_alias: int = HEAVY_ALIAS
     grid_iterations: tuple[int, ...] = GRID_ITERATIONS
     grid_penalties: tuple[float, ...] = GRID_PENALTIES
     grid_folds: int = GRID_FOLDS

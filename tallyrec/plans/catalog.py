@@ -223,6 +223,11 @@ def q_implicit_recs(s, d):
     return _run(s, d).implicit_recs()
 
 
+def q_hosted_report(s, d):
+    """ML17 for the hosted group: past clicks and orders next to the recommended posts (rows-only check, as ALS)."""
+    return _run(s, d).hosted_report()
+
+
 def q_popular_unexpired(s, d):
     from ..operators.implicit import popular_unexpired
 

@@ -72,7 +72,8 @@ class DailyRun:
     @cached_property
     def eligible(self) -> DataFrame:
         e = identity.eligible_cohort(self.src.table("email_engagement"), self.src.table("sessions"),
-                                     self.alias, self.orders_as_of, self.p.lookback_days)
+                                     self.alias, self.orders_as_of, self.p.lookback_days, self.p.heavy_alias,
+                                     self.p.max_broadcast_rows)
         return materialize(e.withColumn("total_commission", F.round("total_commission", 6)))
 
     @cached_property
@@ -84,11 +85,13 @@ class DailyRun:
     def _activity(self, ident: DataFrame, prefilter: bool = False):
         lb = self.p.lookback_days
         keys = interactions.cohort_keys(ident, self.p.max_broadcast_rows) if prefilter else None
+        heavy = interactions.heavy_ids(ident, self.p.heavy_alias, self.p.max_broadcast_rows)
         if prefilter and self.partials is not None:
-            return tuple(interactions.merge_partials(k, ident, self.partials[k], self.as_of, lb, keys) for k in interactions.MEASURES)
-        v = interactions.page_views(ident, self.src.parts("views"), self.as_of, lb, keys)
-        c = interactions.link_clicks(ident, self.src.parts("clicks"), self.as_of, lb, keys)
-        o = interactions.orders(ident, self.src.parts("commission"), self.as_of, lb, keys)
+            return tuple(interactions.merge_partials(k, ident, self.partials[k], self.as_of, lb, keys, heavy)
+                         for k in interactions.MEASURES)
+        v = interactions.page_views(ident, self.src.parts("views"), self.as_of, lb, keys, heavy)
+        c = interactions.link_clicks(ident, self.src.parts("clicks"), self.as_of, lb, keys, heavy)
+        o = interactions.orders(ident, self.src.parts("commission"), self.as_of, lb, keys, heavy)
         return v, c, o
 
     @cached_property
@@ -177,7 +180,9 @@ class DailyRun:
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return materialize(tfidf.doc_tokens(self.meta_text, self.spark, self.p.extra_stop_words))
+        lemmas = self.spark.read.parquet(self.p.lemma_path) if self.p.lemma_path else None
+        return materialize(tfidf.doc_tokens(self.meta_text, self.spark, self.p.extra_stop_words, lemmas,
+                                            max_keys=self.p.max_broadcast_rows))
 
     @cached_property
     def vocab(self) -> DataFrame:
@@ -271,21 +276,25 @@ class DailyRun:
     # --- production and feeds ---------------------------------------------------------------------
     def subscribers_for(self, staging: DataFrame, active_only: bool) -> DataFrame:
         cap = self.p.max_broadcast_rows  # staging users come from the sample: counted, then broadcast
-        emails = identity.latest_email(self.src.table("email_engagement"), staging.select("cim_id"), cap)
+        # stored: its addresses are counted and joined
+        emails = materialize(identity.latest_email(self.src.table("email_engagement"), staging.select("cim_id"), cap))
         return identity.latest_subscriber(self.src.table("subscribers"), emails, active_only, cap)
 
     @cached_property
     def images(self) -> DataFrame:
         return posts.post_image(self.posts, self.postmeta)
 
-    @cached_property
-    def titles(self) -> DataFrame:
-        return posts.newest_title(self.post_versions)
+    def batch(self, staging: DataFrame, active_only: bool) -> DataFrame:
+        """Images and titles are looked up for the recommended posts only (counted, see ``joins.keep_keys``)."""
+        ids = materialize(staging.select("post_id").distinct())
+        cap = self.p.max_broadcast_rows
+        return feed.production_batch(staging, self.subscribers_for(staging, active_only),
+                                     posts.post_image(self.posts, self.postmeta, ids, cap),
+                                     posts.newest_title(self.post_versions, ids, cap), self.as_of, self.p.local_tz)
 
     @cached_property
     def production(self) -> DataFrame:
-        return materialize(feed.production_batch(self.recs, self.subscribers_for(self.recs, True), self.images,
-                                                 self.titles, self.as_of, self.p.local_tz))
+        return materialize(self.batch(self.recs, True))
 
     @cached_property
     def current_feed(self) -> DataFrame:
@@ -316,8 +325,7 @@ class DailyRun:
     @cached_property
     def hosted_production(self) -> DataFrame:
         """P22 for the hosted group: any subscriber status counts when finding the newest."""
-        return materialize(feed.production_batch(self.hosted_recs, self.subscribers_for(self.hosted_recs, False),
-                                                 self.images, self.titles, self.as_of, self.p.local_tz))
+        return materialize(self.batch(self.hosted_recs, False))
 
     @cached_property
     def hosted_current_feed(self) -> DataFrame:
@@ -328,6 +336,9 @@ class DailyRun:
         return feed.outbound_feed(self.hosted_current_feed, self.alias, OUTBOUND_POST_TYPE_HOSTED, self.p.cdn_marker,
                                   self.p.cdn_prefix, self.p.max_broadcast_rows)
 
+    def hosted_report(self) -> DataFrame:
+        return implicit.explain_hosted(self.hosted_recs, self.event_export, self.meta_text)
+
     def implicit_metrics(self) -> DataFrame:
         return implicit.implicit_metrics(self.event_export, self.meta, self.p.implicit_weights, self.as_of,
                                          k=self.p.hosted_recs, seed=self.p.split_seed)
@@ -424,9 +435,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     io.write_csv(run.factor_recs.select(*STAGING_COLUMNS), paths["daily_rec_staging_csv"], order_by=["cim_id", "post_order"])
     staging = io.read_csv(spark, paths["daily_rec_staging_csv"], STAGING)
     io.append_seed_log(hybrid.seed_log_rows(run.seeds), paths["post_prev_rec"], run.as_of)
-    batch = feed.production_batch(staging, run.subscribers_for(staging, True), run.images, run.titles, run.as_of,
-                                  params.local_tz)
-    io.append_batch(batch, paths["daily_rec_production"], run.as_of)
+    io.append_batch(run.batch(staging, True), paths["daily_rec_production"], run.as_of)
     current = feed.current_feed(versions.read_published(spark, paths["daily_rec_production"]), FEED_LABEL_IN_HOUSE)
     versions.publish(current, paths["final_feed"])
     out = feed.outbound_feed(versions.read_published(spark, paths["final_feed"]), run.alias, OUTBOUND_POST_TYPE_IN_HOUSE,
@@ -442,9 +451,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, params: RunParams
     io.write_csv(run.hosted_recs.select(*HOSTED_STAGING_COLUMNS), paths["hosted_rec_staging_csv"],
                  order_by=["cim_id", "post_order"])
     hstaging = io.read_csv(spark, paths["hosted_rec_staging_csv"], HOSTED_STAGING)
-    hbatch = feed.production_batch(hstaging, run.subscribers_for(hstaging, False), run.images, run.titles,
-                                   run.as_of, params.local_tz)
-    io.append_batch(hbatch, paths["hosted_rec_production"], run.as_of)
+    io.append_batch(run.batch(hstaging, False), paths["hosted_rec_production"], run.as_of)
     hcurrent = feed.current_feed(versions.read_published(spark, paths["hosted_rec_production"]), FEED_LABEL_HOSTED)
     versions.publish(hcurrent, paths["hosted_final_feed"])
     hout = feed.outbound_feed(versions.read_published(spark, paths["hosted_final_feed"]), run.alias, OUTBOUND_POST_TYPE_HOSTED,
