@@ -1,14 +1,17 @@
-"""Secret scan: fixed patterns, and Markov models of random strings and ordinary words (operator 2).
+"""Secret scan: fixed patterns, and Markov models of random strings and ordinary identifiers (operator 2).
 
 DataFrame functions only.  Besides the pattern matches, every run of 16 or more token characters
-is scored, whatever characters it holds: the sum over its character pairs of log P(random) - log
-P(ordinary), where both are first-order Markov models with additive smoothing.  They are
-trained from labelled samples: random strings made from digests of document ids (hex, base64, capitals and
-digits), ordinary ones from the words and identifiers (with digits, hyphens and the like) in the documents' text
-outside the pattern matches, all shorter than a scored run, and from ruled lines.  A run above ``threshold`` nats that lies in no pattern match is a span of kind ``markov``;
+is scored, whatever characters it holds, by first-order Markov models of random strings and of ordinary
+identifiers with additive smoothing.  A character pair counts log P(random) - log P(ordinary); a run's score is the log-likelihood ratio of its best stretch (the
+largest sum over neighbouring pairs), so a key inside a long path counts in full and a long ordinary path does not
+add up.  The models are trained from labelled samples: random strings made from digests (base64 in both alphabets, letters and digits, capitals
+and digits, small letters and digits); ordinary ones from the words of the documents outside the pattern matches, and identifiers
+of all lengths: snake, kebab and camel case, paths, constants, dated and numbered names put together from neighbouring words of the documents and from a list of
+common identifier words, UUIDs, ruled lines and one character repeated.  A run above ``threshold`` nats that lies in no pattern match is a span of kind ``markov``;
 it may hold a pattern match, which stays a span of its own.
 
-Null texts count as empty and have no spans.  Texts are searched whole.  Repeated rows are scanned each.
+Null texts count as empty and have no spans.  Texts are searched whole.  Repeated rows are scanned each.  An empty table gives no
+rows.  There are no ties: a span is reported or not by its own score.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyrec.functions.ids import smallest_hashes
+
 # The patterns of the three base kinds, in the order in which kinds are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # a run of AKIA[A-Z0-9]+ with 18 or more characters, whole
@@ -23,7 +28,17 @@ HEX = r"[0-9a-f]{16,}"
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
 KINDS = ["assign", "access", "hex", "markov"]
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,15}(?![A-Za-z0-9+/_=-])"  # shorter than what is scored, so no key is learned as ordinary
-RULES = [c * 24 for c in "+/_=-"]
+TOKEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+# Labelled sample: words that identifiers are commonly made of.
+NAMES = """account action address admin agent alias allow api app apply array async audit auth author backup balance base batch begin
+binary block body branch browser buffer build bundle button bytes cache call card cart cell chain change channel char check child class clean
+client clock close cluster code color column command comment commit common compare config connect connection content context control controller
+convert cookie copy count create cursor custom data database date debug default delete delta deploy detail device digest directory disable disk display
+document domain double driver edit element email empty enable encode engine entity entry error event example execute export factory failed
+feature field file filter final find first flag folder format frame function group handler hash header height home host icon image import index
+info input insert instance integer interface invalid item job join key keyword label language layout length level library limit line link list
+load local location lock logger login main manager mapping master max memory message method metric min mode model module monitor name network next node
+""".split()
 SIZE = 128  # characters of the models are ASCII
 
 
@@ -69,25 +84,64 @@ def pairs_of(value: Column) -> Column:
                       lambda a, b: a * SIZE + F.coalesce(b, F.lit(0)))
 
 
+def styled(words: Column, style: Column, number: Column) -> Column:
+    """An identifier of an array of four small words; ``style`` (0 to 8) picks its form, ``number`` its digits."""
+    capital = F.transform(words, F.initcap)
+    w = [F.get(words, F.lit(i)) for i in range(4)]
+    day = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(number, F.lit(12_000)).cast("int")), "yyyy/MM/dd")
+    forms = [F.array_join(words, "_"), F.array_join(words, "-"), F.concat(F.lit("/"), F.array_join(words, "/")),
+             F.concat(w[0], F.array_join(F.slice(capital, 2, 3), "")), F.upper(F.array_join(words, "_")),
+             F.concat(F.upper(F.concat_ws("_", w[0], w[1])), F.lit("="), F.pmod(number, F.lit(5000)).cast("string")),
+             F.concat_ws("/", w[0], w[1], F.array_join(capital, "")),
+             F.concat_ws("-", w[0], w[1], F.pmod(number, F.lit(100_000)).cast("string"), w[2], w[3]),
+             F.concat(F.concat_ws("/", w[0], day, w[1]), F.lit("_v"), F.pmod(number, F.lit(20)).cast("string"), F.lit("-"), F.translate(day, "/", "-"))]
+    return F.get(F.array(*forms), style)
+
+
+def random_strings(numbers: DataFrame) -> DataFrame:
+    """Labelled random strings, four of every ``id``."""
+    digest = F.sha2(F.concat(F.lit("random string "), F.col("id").cast("string")), 512)
+    coded = F.base64(F.unhex(F.substring(digest, 1, 60)))
+    small = F.array_join(F.array(*(F.lower(F.conv(F.substring(digest, at, 15), 16, 36)) for at in (1, 16, 31))), "")
+    return numbers.select(F.explode(F.array(
+        coded, F.translate(F.base64(F.unhex(F.substring(digest, 61, 60))), "+/", "-_"), F.translate(F.upper(coded), "+/=", ""), small)).alias("value"))
+
+
+def ordinary_strings(numbers: DataFrame, texts: DataFrame) -> DataFrame:
+    """Labelled ordinary strings: (value, n) with their number."""
+    text = F.coalesce("text", F.lit(""))
+    for pattern in (ASSIGN, ACCESS, HEX):
+        text = F.regexp_replace(text, pattern, " ")
+    cut = texts.select(text.alias("text"))
+    words = cut.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value"))
+    plain = cut.select(F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,12}"), F.lit(0)), F.lower).alias("w"))
+    fours = plain.select(F.explode(F.when(F.size("w") >= 4, F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("w") / 4).cast("int") - 1), lambda i: F.slice(F.col("w"), i * 4 + 1, 4)))).alias("w"))
+    h = F.xxhash64("w")
+    made = fours.select(styled(F.col("w"), F.pmod(h, F.lit(9)).cast("int"), F.shiftrightunsigned(h, 8)).alias("value"))
+    names = F.array(*[F.lit(x) for x in NAMES])
+    draw = F.transform(F.array(*[F.lit(i) for i in range(4)]), lambda i: F.get(names, F.pmod(F.xxhash64(F.col("id"), i), F.size(names)).cast("int")))
+    named = numbers.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(8)), lambda f: styled(draw, f, F.xxhash64("id", f)))).alias("value"))
+    digest = F.md5(F.concat(F.lit("uuid "), F.col("id").cast("string")))
+    uuid = numbers.select(F.concat_ws("-", *(F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))).alias("value"))
+    lines = numbers.limit(1).select(F.explode(F.array(*[F.lit(c * 1000) for c in TOKEN])).alias("value"))
+    every = words.unionByName(made).unionByName(named).unionByName(uuid).unionByName(lines)
+    return every.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def ratio_table(docs: DataFrame, sample: int = 2000, smooth: float = 0.5) -> DataFrame:
     """One row, one column ``ratio``: SIZE * SIZE log-ratios by pair number.
 
-    Learned from ``sample`` documents (smallest hash of the id) at every input size, so the row is bounded.
+    Learned from ``sample`` documents (smallest hash of the id; a hash cutoff, so no task sees more than about that many)
+    and ``sample`` made strings of every form, at every input size, so the row is bounded.
     """
-    rank = F.xxhash64("doc_id", F.lit("secrets"))
-    ids = docs.select("doc_id", rank.alias("_rank")).where("doc_id is not null").orderBy("_rank", "doc_id").limit(sample)
+    ids = smallest_hashes(docs.select("doc_id").where("doc_id is not null"), sample, ["doc_id"], "secrets").distinct()
+    numbers = docs.sparkSession.range(sample)
     some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    digest = F.sha2(F.concat(F.lit("random string "), F.col("doc_id").cast("string")), 512)
-    capitals = F.translate(F.upper(F.base64(F.unhex(digest))), "+/=", "")
-    random = ids.select(F.explode(F.array(
-        F.substring(digest, 1, 40), F.base64(F.unhex(F.substring(digest, 1, 60))), F.substring(capitals, 1, 24))).alias("value"), F.lit(1).alias("random"))
-    text = F.coalesce("text", F.lit(""))
-    for pattern in (ASSIGN, ACCESS, HEX):
-        text = F.regexp_replace(text, pattern, " ")
-    ruled = F.array(*[F.lit(x) for x in RULES])
-    plain = some.select(F.explode(F.concat(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), ruled)).alias("value"), F.lit(0).alias("random"))
-    count = (random.unionByName(plain).select("random", F.explode(pairs_of(F.col("value"))).alias("pair"))
-             .groupBy("pair").agg(F.sum("random").alias("r"), F.sum(1 - F.col("random")).alias("w")))
+    random = random_strings(numbers).select("value", F.lit(1).alias("r"), F.lit(0).alias("w"))
+    plain = ordinary_strings(numbers, some).select("value", F.lit(0).alias("r"), F.col("n").alias("w"))
+    count = (random.unionByName(plain).select("r", "w", F.explode(pairs_of(F.col("value"))).alias("pair"))
+             .groupBy("pair").agg(F.sum("r").alias("r"), F.sum("w").alias("w")))
     grid = docs.sparkSession.range(SIZE * SIZE).select(F.col("id").cast("int").alias("pair")).join(count, "pair", "left").fillna(0, ["r", "w"])
     first = (grid.groupBy((F.col("pair") / SIZE).cast("int").alias("first"))
              .agg(F.sum("r").alias("nr"), F.sum("w").alias("nw"), F.collect_list(F.struct("pair", "r", "w")).alias("cells")))
@@ -97,7 +151,18 @@ def ratio_table(docs: DataFrame, sample: int = 2000, smooth: float = 0.5) -> Dat
     return cells.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["v"]).alias("ratio"))
 
 
-def scan(docs: DataFrame, threshold: float = 15.0) -> DataFrame:
+def best_stretch(value: Column, ratio: Column) -> Column:
+    """The log-likelihood ratio of a string's best stretch of neighbouring pairs, at least 0."""
+    begin = F.struct(F.lit(0.0).alias("now"), F.lit(0.0).alias("best"))
+
+    def step(acc, pair):
+        now = F.greatest(acc["now"] + F.get(ratio, pair), F.lit(0.0))
+        return F.struct(now.alias("now"), F.greatest(acc["best"], now).alias("best"))
+
+    return F.aggregate(pairs_of(value), begin, step, lambda acc: acc["best"])
+
+
+def scan(docs: DataFrame, threshold: float = 28.0) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov of every row."""
     ratio = ratio_table(docs).scalar()
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -108,8 +173,7 @@ def scan(docs: DataFrame, threshold: float = 15.0) -> DataFrame:
     rows = rows.select("doc_id", "base", clear.alias("run"))
     # the table joins as one row only where there is something to score
     rows = rows.withColumn("ratio", F.when(F.size("run") > 0, ratio))
-    score = lambda s: F.aggregate(pairs_of(s["value"]), F.lit(0.0), lambda a, p: a + F.get(F.col("ratio"), p))
-    rows = rows.select("doc_id", "base", F.when(F.size("run") > 0, F.filter("run", lambda s: score(s) > threshold)).otherwise(F.col("run")).alias("more"))
+    rows = rows.select("doc_id", "base", F.when(F.size("run") > 0, F.filter("run", lambda s: best_stretch(s["value"], F.col("ratio")) > threshold)).otherwise(F.col("run")).alias("more"))
     kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return rows.select("doc_id", kind(0).alias("n_assign"), kind(1).alias("n_access"), kind(2).alias("n_hex"),
                        F.sha2(shown(F.col("base")), 256).alias("base_sha256"),

@@ -1,6 +1,7 @@
 """Per-document operators against the tokenizers library, plain Python or held-out labels."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyrec.llm import bpe, langid, packing, pii, quality, secret_scan, simhash, token_counts
@@ -310,6 +312,60 @@ def test_markov_model_decides_alone(spark, docs):
     assert spans[3] == spans[4] == "" and spans[5] == "assign:0:24"
 
 
+def held_out_strings():
+    """Random strings of four alphabets and lengths, and identifiers that no training sample is made of."""
+    import ast
+    import inspect
+    import locale
+    import socket
+    import ssl
+    import string
+    import unittest
+    import uuid
+
+    rng = random.Random(11)
+    letters = string.ascii_letters + string.digits
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in (letters + "+/", letters + "-_", string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits)
+            for n in (16, 20, 24, 40) for _ in range(25)]
+    keys += [f"/home/app/service/keys/{''.join(rng.choice(letters) for _ in range(24))}/data/archive/old" for _ in range(50)]
+    names = {n for m in (ast, inspect, locale, socket, ssl, unittest.TestCase, os, np, F) for n in dir(m)}
+    plain = sorted(n for n in names if re.fullmatch("[A-Za-z0-9_]{16,}", n))
+    plain += [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(100)]
+    return keys, plain
+
+
+def test_markov_model_on_held_out_strings(spark, docs):
+    keys, plain = held_out_strings()
+    assert len(keys) == 450 and len(plain) > 400
+    harmless = ["/usr/local/share/doc/python-requests/examples", "src/main/java/com/example/service/UserAccountController",
+                "550e8400-e29b-41d4-a716-446655440000", "com/products/category/item-12345-red-shoes", "MAX_CONNECTION_POOL_SIZE_LIMIT=100",
+                "A" * 24, "correct-horse-battery-staple-word"]
+    rows = [(10_000 + i, x) for i, x in enumerate(keys + plain + harmless)]
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    # trained on the documents alone
+    scored = more.withColumn("ratio", secret_scan.ratio_table(docs).scalar()).select(
+        "doc_id", secret_scan.best_stretch(F.col("text"), F.col("ratio")).alias("s"))
+    high = {r["doc_id"] - 10_000: r["s"] > 28 for r in scored.collect()}
+    hits = sum(high[i] for i in range(len(keys)))
+    wrong = sum(high[i] for i in range(len(keys), len(keys) + len(plain)))
+    assert hits / len(keys) >= 0.95 and wrong / len(plain) <= 0.05 and hits / (hits + wrong) >= 0.95
+    assert not any(high[i] for i in range(len(keys) + len(plain), len(rows)))
+
+
+def test_best_stretch_equals_brute_force(spark):
+    rng = np.random.default_rng(2)
+    ratio = rng.normal(-0.2, 1, 128 * 128)
+    values = ["", "a", "ab", "".join(map(chr, rng.integers(33, 127, 60))), "é日x" * 5, "z" * 30]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    table = spark.createDataFrame([(ratio.tolist(),)], "ratio array<double>").scalar()
+    df = df.withColumn("ratio", table)
+    for r in df.select("v", secret_scan.best_stretch(F.col("v"), F.col("ratio")).alias("s")).collect():
+        at = [min(ord(c), 127) for c in r["v"]]
+        gains = [ratio[a * 128 + b] for a, b in zip(at, at[1:])]
+        want = max([sum(gains[i:j]) for i in range(len(gains)) for j in range(i + 1, len(gains) + 1)] + [0.0])
+        assert abs(r["s"] - want) < 1e-9
+
+
 def personal(text):
     def luhn(d):
         total = 0
