@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,6 +25,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+LONGEST = 100_000  # characters of the longest text that a training sample takes: with its number of rows the bound of what the driver gets
+
+
+def below(rank: Column, share: float | Column) -> Column:
+    """Whether a 64-bit hash lies in the lowest ``share`` of its range."""
+    return rank.cast("double") < (F.lit(share) if isinstance(share, float) else share) * 2.0 ** 64 - 2.0 ** 63
+
+
+def lowest(df: DataFrame, rank: Column, n: int, keep: Column, key: str) -> DataFrame:
+    """Rows of ``df`` that ``keep`` accepts and that include those of the ``n`` values of ``key`` with the lowest ``rank`` (a hash of it): about so many, or a few more.
+
+    A plain top-n sends n rows of every split to one task.  Here a cutoff on the hash, from the number of rows, leaves about n
+    rows wherever they lie; it is raised by what was found while fewer than n are left.
+    """
+    share = (n + 4 * n ** 0.5 + 16) / max(df.count(), 1)
+    while share < 1:
+        near = df.where(below(rank, share)).where(keep)
+        found = near.select(key).distinct().count()
+        if found >= n:
+            return near
+        share *= max(2.0, min(100.0, 1.2 * n / max(found, 1)))
+    return df.where(keep)
+
+
 def doc_hash(col: str = "doc_id"):
     """crc32 of the id as text: the fold rule of the labelled samples (a null id counts as 0)."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(0).cast("long"))

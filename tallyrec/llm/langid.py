@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import doc_hash, filter_texts, map_slices
+from tallyrec.llm.common import LONGEST, below, doc_hash, filter_texts, map_slices
 
 PIECE = 200  # characters of the pieces on which rejection is calibrated
 UNKNOWN = "und"
@@ -194,14 +194,35 @@ class Models:
         return [UNKNOWN if no else self.langs[i] for no, i in zip(none, best, strict=True)], score, low, none | (low > limit)
 
 
+def near_ranks(docs: DataFrame, rank, per_lang: int, folds: int, held_out: int) -> DataFrame | None:
+    """Documents to learn from that include the ``per_lang`` of the lowest rank of each language; None if no lang is known."""
+    sizes = {r["lang"]: r["count"] for r in docs.where("lang is not null").groupBy("lang").count().collect()}
+    if not sizes:
+        return None
+    able = F.expr("doc_id is not null and lang is not null") & (doc_hash() % folds != held_out) & F.length("text").between(1, LONGEST)
+    want = (per_lang + 4 * per_lang ** 0.5 + 16) * folds / max(folds - 1, 1)
+    share = {g: min(1.0, want / n) for g, n in sizes.items()}
+    while True:
+        cut = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
+        near = docs.where("lang is not null").where(below(rank, cut[F.col("lang")]) | (cut[F.col("lang")] >= 1)).where(able)
+        found = {r["lang"]: r["count"] for r in near.groupBy("lang").count().collect()}
+        few = [g for g, s in share.items() if s < 1 and found.get(g, 0) < per_lang]
+        if not few:
+            return near
+        for g in few:
+            share[g] = min(1.0, share[g] * max(2.0, min(100.0, 1.2 * per_lang / max(found.get(g, 0), 1))))
+
+
 def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_lang: int = 500, order: int = 5) -> Models:
     """Train on at most ``per_lang`` documents of each language (smallest salted hash), one in five of them for calibration.
 
-    Only documents outside the held-out fold are read.  The driver gets per_lang texts a language at every input size.
+    Only documents outside the held-out fold are read.  The driver gets per_lang texts a language at every input size, none of
+    over 100,000 characters.  Each language has a cutoff on the hash, so no task sees more than a small multiple of per_lang ids.
     """
-    known = docs.select("doc_id", "text", "lang").where("lang is not null and length(text) > 0 and doc_id is not null")
-    known = known.where(doc_hash() % folds != held_out)
     rank = F.xxhash64("doc_id", F.lit("language"))
+    known = near_ranks(docs.select("doc_id", "text", "lang"), rank, per_lang, folds, held_out)
+    if known is None:
+        return Models([], order)
     order_by = Window.partitionBy("lang").orderBy("rank", "doc_id")
     # ids first: texts are read for the chosen rows only
     chosen = known.select("doc_id", "lang", rank.alias("rank")).withColumn("at", F.row_number().over(order_by)).where(F.col("at") <= per_lang)

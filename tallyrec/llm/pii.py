@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.common import map_slices, replace_texts
+from tallyrec.llm.common import LONGEST, lowest, map_slices, replace_texts
 from tallyrec.llm.lstm_crf import Tagger, classes
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -198,9 +198,10 @@ def fit(docs: DataFrame, sample: int = 4000) -> Tagger | None:
     ``sample`` bounds what the driver gets at every size; texts of over 100,000 characters are not drawn.
     """
     rank = F.xxhash64("doc_id", F.lit("personal"))
-    able = docs.where("doc_id is not null and length(text) <= 100000").where(F.col("text").rlike("[0-9@]"))
-    ids = able.select("doc_id", rank.alias("_rank")).orderBy("_rank", "doc_id").limit(sample)
-    rows = able.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    able = F.col("doc_id").isNotNull() & (F.length("text") <= LONGEST) & F.col("text").rlike("[0-9@]")
+    near = lowest(docs.select("doc_id", "text"), rank, sample, able, "doc_id")
+    ids = near.select("doc_id", rank.alias("_rank")).orderBy("_rank", "doc_id").limit(sample)
+    rows = near.join(F.broadcast(ids.distinct()), "doc_id")
     got = rows.orderBy("_rank", "doc_id", "text").limit(sample).collect()
     return train([r["text"] for r in got])
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import doc_hash, filter_texts, map_slices
+from tallyrec.llm.common import LONGEST, doc_hash, filter_texts, lowest, map_slices
 
 SIZES = (3, 4, 5)
 
@@ -96,14 +96,14 @@ def train(texts: list[str], labels: list[int], bits: int = 18, dim: int = 16, ep
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, sample: int = 3000) -> Model:
     """Train on the ``sample`` labelled documents with the smallest salted hash, outside the held-out fold.
 
-    ``sample`` is the bound of what the driver gets, at every input size.
+    ``sample`` is the bound of what the driver gets, at every input size; a chosen text of over 100,000 characters is left out.
     """
-    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    known = known.where(doc_hash() % folds != held_out)
+    able = F.expr("doc_id is not null and quality in (0, 1)") & (doc_hash() % folds != held_out)
     rank = F.xxhash64("doc_id", F.lit("quality"))
     # ids are chosen before any text is read
+    known = lowest(labels.select("doc_id", "quality"), rank, sample, able, "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.withColumn("rank", rank).orderBy("rank", "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").where(F.length("text").between(1, LONGEST)).join(F.broadcast(chosen), "doc_id")
     got = rows.select("doc_id", "rank", "text", "quality").orderBy("rank", "doc_id", "text").limit(2 * sample).collect()
     return train([r["text"] for r in got], [int(r["quality"]) for r in got])
 

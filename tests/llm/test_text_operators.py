@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyrec.llm import bpe, langid, packing, pii, quality, secret_scan, simhash, token_counts
+from tallyrec.llm import bpe, common, langid, packing, pii, quality, secret_scan, simhash, token_counts
 from tallyrec.llm.lstm_crf import Tagger
 
 SMALL = "/root/testdata/sf0.001"
@@ -366,6 +366,36 @@ def test_best_stretch_equals_brute_force(spark):
         assert abs(r["s"] - want) < 1e-9
 
 
+def test_samples_by_a_cutoff_are_those_of_a_whole_sort(spark, docs):
+    rank = F.xxhash64("doc_id", F.lit("x"))
+    rows = docs.select("doc_id", "text").unionByName(docs.select("doc_id", "text").limit(200)).cache()
+    for keep in (F.lit(True), F.col("text").rlike("[0-9@]"), F.col("doc_id") == 7, F.lit(False)):
+        for n in (1, 10, 40, 5000):
+            near = common.lowest(rows, rank, n, keep, "doc_id")
+            got = [r[0] for r in near.select("doc_id", rank.alias("r")).distinct().orderBy("r", "doc_id").limit(n).collect()]
+            want = [r[0] for r in rows.where(keep).select("doc_id", rank.alias("r")).distinct().orderBy("r", "doc_id").limit(n).collect()]
+            assert got == want
+    few = common.lowest(rows, rank, 10, F.lit(True), "doc_id").count()
+    assert few < 120  # of 300 rows or so: not the whole table
+    assert common.lowest(empty(spark), rank, 10, F.lit(True), "doc_id").count() == 0
+
+
+def test_language_samples_by_cutoffs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rank = F.xxhash64("doc_id", F.lit("language"))
+    able = docs.where("lang is not null and length(text) between 1 and 100000").where(common.doc_hash() % 3 != 1)
+    sizes = {r["lang"]: r["count"] for r in able.groupBy("lang").count().collect()}
+    for n in (5, 10_000):
+        near = langid.near_ranks(docs, rank, n, 3, 1).select("doc_id", "lang", rank.alias("r")).collect()
+        for lang, size in sizes.items():
+            got = sorted((r["r"], r["doc_id"]) for r in near if r["lang"] == lang)
+            want = sorted((r["r"], r["doc_id"]) for r in able.where(F.col("lang") == lang).select("doc_id", rank.alias("r")).collect())
+            assert got[:n] == want[:n] and len(got) >= min(n, size)
+            assert n > size or len(got) < 20 * n
+    assert langid.near_ranks(empty(spark), rank, 5, 3, 1) is None
+    assert langid.fit(empty(spark)).langs == []
+
+
 def personal(text):
     def luhn(d):
         total = 0
