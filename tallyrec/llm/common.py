@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyrec.session import scratch_path
 
 
+BATCH_ROWS = 2000  # rows of an Arrow batch of texts
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,6 +79,32 @@ def slices(batch: pa.RecordBatch, weight: int | None, budget: int) -> Iterator[l
         yield [c.to_pylist() for c in part.columns]
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system: a worker serves the tasks of later stages too."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc
+        trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of at most ``BATCH_ROWS`` rows; after a task's last row its worker gives memory back.
+
+    Texts are long: with the default of 10,000 rows a batch of them takes tens of MB on both sides of the pipe.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
 def map_slices(df: DataFrame, make: Callable, schema: str, text: str | None = "text",
                budget: int = 2_000_000, lists: bool = True) -> DataFrame:
     """``make()`` runs once per task and returns ``f(*columns) -> list of output columns``.
@@ -102,10 +132,10 @@ def map_slices(df: DataFrame, make: Callable, schema: str, text: str | None = "t
         if hasattr(f, "finish"):
             yield rows(f.finish())
 
-    return df.mapInArrow(run, struct)
+    return map_arrow(df, run, struct)
 
 
-def filter_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 2_000_000) -> DataFrame:
+def filter_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 1_000_000) -> DataFrame:
     """The rows for whose texts ``f = make()`` gives True, all columns kept; ``f`` gets a bounded slice at a time."""
     at = df.columns.index(text)
 
@@ -116,10 +146,10 @@ def filter_texts(df: DataFrame, make: Callable, text: str = "text", budget: int
             for part in parts(batch, at, budget):
                 yield part.filter(pa.array(f(part.column(at).to_pylist()), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
-def replace_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 2_000_000) -> DataFrame:
+def replace_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 1_000_000) -> DataFrame:
     """All rows and columns, the texts replaced by those that ``f = make()`` gives for a bounded slice at a time."""
     at = df.columns.index(text)
 
@@ -130,7 +160,7 @@ def replace_texts(df: DataFrame, make: Callable, text: str = "text", budget: int
             for part in parts(batch, at, budget):
                 yield part.set_column(at, part.schema.field(at), pa.array(f(part.column(at).to_pylist()), part.schema.field(at).type))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
 class Recent(dict):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import map_slices, slices, stored
+from tallyrec.llm.common import map_arrow, map_slices, slices, stored
 from tallyrec.llm.components import components
 
 SHINGLE, COORDINATES, MATCHES = 5, 64, 30
@@ -135,7 +135,7 @@ def jaccard_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         out_b.append(b[i])
                 yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    return rows.mapInArrow(run, "a long, b long")
+    return map_arrow(rows, run, "a long, b long")
 
 
 def leader_pairs(posts: DataFrame, seed: int) -> DataFrame:
@@ -210,7 +210,7 @@ def partners(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFram
             if got is not None:
                 yield got
 
-    return dealt.mapInArrow(run, "g long, id long, component long, other array<long>, agree array<short>")
+    return map_arrow(dealt, run, "g long, id long, component long, other array<long>, agree array<short>")
 
 
 def groups(batches, columns):
@@ -286,7 +286,7 @@ def confirmed(met: DataFrame, texts: DataFrame) -> DataFrame:
             if out_a:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    return rows.mapInArrow(run, "a long, b long")
+    return map_arrow(rows, run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
