@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrec.llm import langid, minhash, packing, pii, quality
-from tallyrec.llm.common import stored, table
+from tallyrec.llm.common import maybe_among, stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +32,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (operator 5): the one with the smallest id."""
-    kept = (minhash.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null")
-            .groupBy("doc_id").agg((F.count("*") > 1).alias("_again")))
-    kept = stored(kept, "pipeline-kept")
-    once = docs.join(kept.where("not _again").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(kept.where("_again").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.where("doc_id is null"))
+    # ids that none or several rows are kept of are the few; the rows of all others stay where they are
+    found = (minhash.near_duplicates(docs.select("doc_id", "text")).where("doc_id is not null")
+             .groupBy("doc_id").agg(F.count_if("kept").alias("_kept")).where("_kept <> 1"))
+    found = stored(found, "pipeline-found")
+    marked = maybe_among(docs, found, "doc_id", "_maybe")
+    maybe = marked.where("_maybe").drop("_maybe")
+    again = maybe.join(found.where("_kept > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return marked.where("not _maybe").drop("_maybe").unionByName(maybe.join(found, "doc_id", "left_anti")).unionByName(again)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

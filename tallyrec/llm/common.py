@@ -53,6 +53,35 @@ def lowest(df: DataFrame, rank: Column, n: int, keep: Column, key: str) -> DataF
     return df.where(keep)
 
 
+BITMAP = 1 << 15  # bits of one value of bitmap_construct_agg
+MOST_BITS = 1 << 26  # of all bitmaps of a key filter: 8 MB, which is what an executor gets of it at most
+
+
+def maybe_among(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` with the boolean column ``name``: false where ``key`` is surely not in the column ``key`` of ``keys`` or is null.
+
+    A semi or anti join of long rows with a table too large to broadcast shuffles all of them.  Sixteen bits a key, one of them set
+    by the key's hash, are broadcast instead, so that only the rows they can't tell (about one in sixteen of the others, more
+    where there are over 4 million keys) have to meet ``keys``.
+    """
+    bits = BITMAP
+    while bits < min(16 * keys.count(), MOST_BITS):
+        bits *= 2
+    at = F.pmod(F.xxhash64(F.col(key).cast(keys.schema[key].dataType)), F.lit(bits))
+    maps = (keys.where(F.col(key).isNotNull()).select(at.alias("_at"))
+            .groupBy(F.floor(F.col("_at") / BITMAP).alias("_map")).agg(F.bitmap_construct_agg(F.col("_at") % BITMAP).alias("_bits")))
+    place = (at % BITMAP).cast("int")
+    byte = F.conv(F.hex(F.substr("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = df.withColumn("_map", F.floor(at / BITMAP)).join(F.broadcast(maps), "_map", "left")
+    found = F.col(key).isNotNull() & F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False))
+    return met.select(*df.columns, found.alias(name))
+
+
+def only_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``keys``; few of the others are shuffled."""
+    return maybe_among(df, keys, key, "_maybe").where("_maybe").drop("_maybe").join(keys, key, "left_semi")
+
+
 def doc_hash(col: str = "doc_id"):
     """crc32 of the id as text: the fold rule of the labelled samples (a null id counts as 0)."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(0).cast("long"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.llm import flat
-from tallyrec.llm.common import map_arrow, map_slices, slices, stored
+from tallyrec.llm.common import map_arrow, map_slices, only_among, slices, stored
 from tallyrec.llm.components import components
 
 SHINGLE, COORDINATES, MATCHES = 5, 64, 30
@@ -156,7 +156,7 @@ def partners(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFram
     shingles; a task compares two blocks.  A pair comes out of the first list only in which both are posted.
     """
     named = (posts.select("key", "id", "mask").join(labels, "id", "left")
-             .withColumn("component", F.coalesce("component", "id")).join(signed, "id"))
+             .withColumn("component", F.coalesce("component", "id")).join(signed.select("id", "d1", "n_shingles"), "id"))
     open_ = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"),
                                       F.sum("n_shingles").alias("load")).where("lo < hi")
              .select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("load") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
@@ -164,8 +164,11 @@ def partners(posts: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFram
     i = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
     dealt = named.withColumn("at", i).select(
-        F.xxhash64("key", "at.i", "at.j").alias("g"), "id", "component", "block", "n_shingles", "signature", "mask",
+        F.xxhash64("key", "at.i", "at.j").alias("g"), "id", "d1", "component", "block", "n_shingles", "mask",
         F.shiftright("key", 32).alias("coordinate"))
+    # signatures join what is left: they are the longest column
+    dealt = dealt.join(signed.select("id", "d1", "signature"), ["id", "d1"]).select(
+        "g", "id", "component", "block", "n_shingles", "signature", "mask", "coordinate")
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "g").sortWithinPartitions("g", "block", "id")
 
@@ -293,16 +296,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     base = stored(signatures(docs), "minhash-signatures")
     whole = base.where("n_shingles > 0 and doc_id is not null")
-    classes = whole.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"))
+    # equal sets have equal signatures
+    classes = whole.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
     classes = stored(classes, "minhash-classes")
     # sets of one or two shingles are similar only if equal
-    ids = classes.where("n_shingles >= 3").select("id", "d1", "d2", "n_shingles")
-    signed = base.select(F.col("doc_id").alias("id"), "d1", "d2", "n_shingles", "signature").join(ids, ["id", "d1", "d2", "n_shingles"], "left_semi")
-    signed = signed.dropDuplicates(["id", "d1", "d2", "n_shingles"]).select("id", "n_shingles", "signature")
+    signed = classes.where("n_shingles >= 3").select("id", "d1", "n_shingles", "signature")
     posts = stored(postings(signed), "minhash-postings")
     members = stored(posts.select("id").distinct(), "minhash-ids")
-    signed = stored(signed.join(members, "id", "left_semi"), "minhash-members")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(members, "id", "left_semi").dropDuplicates(["id"])
+    signed = stored(only_among(signed, members, "id"), "minhash-members")
+    texts = only_among(docs.select(F.col("doc_id").alias("id"), "text"), members, "id").dropDuplicates(["id"])
     texts = stored(texts, "minhash-texts")
 
     def near(pairs: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyrec.llm import embed_dedup, minhash
+from tallyrec.llm import common, embed_dedup, minhash
 from tallyrec.llm.components import components
 
 
@@ -207,3 +208,65 @@ def test_pipeline_odd_rows(spark):
             out.collect()
     near = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, schema), "").collect()
     assert sorted(r["doc_id"] or 0 for r in near) == [0, 1, 2]
+
+
+def test_key_filter_leaves_out_no_row(spark):
+    ids = list(range(-3000, 60_000, 7)) + [2 ** 62, -2 ** 63, None]
+    keys = spark.createDataFrame([(i,) for i in ids], "id long")
+    rows = spark.createDataFrame([(i, str(i)) for i in list(range(-3000, 60_000)) + [2 ** 62, -2 ** 63, None, 5, 5]], "id long, text string")
+    got = common.maybe_among(rows, keys, "id", "maybe").collect()
+    assert len(got) == rows.count() and all(r["maybe"] for r in got if r["id"] in ids and r["id"] is not None)
+    assert sum(r["maybe"] for r in got) < 1.6 * len(ids) and not any(r["maybe"] for r in got if r["id"] is None)
+    assert sorted(r["id"] for r in common.only_among(rows, keys, "id").collect()) == sorted(i for i in ids if i is not None)
+    narrow = rows.where("id between 0 and 100").select(F.col("id").cast("int").alias("id"))
+    assert common.only_among(narrow, keys, "id").count() == sum(i is not None and 0 <= i <= 100 for i in ids)
+    none = common.maybe_among(rows, keys.where("false"), "id", "maybe")
+    assert none.count() == rows.count() and none.where("maybe").count() == 0
+
+
+def test_near_duplicate_stage_shuffles_few_texts(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(str(rng.randrange(10 ** 9)) for _ in range(1000)) for _ in range(300)]
+    texts += [f"{texts[i]} once more" for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+    written = shuffled()
+    before = sum(written.values())
+
+    def held(df, name):  # the files are counted at each step, as Spark may clean them up
+        out = common.stored(df, name)
+        written.update(shuffled())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", held)
+    monkeypatch.setattr(corpus_pipeline, "stored", held)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are too large for it
+    try:
+        got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+        written.update(shuffled())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(r["doc_id"] for r in got) == list(range(300))
+    assert sum(written.values()) - before < 0.4 * sum(map(len, texts))
+
+
+def test_near_duplicate_stage_with_repeated_ids(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    own = [" ".join(word() for _ in range(40)) for _ in range(30)]
+    # 3 is a copy of 1; 5 comes twice alike, 6 with two texts, 8 with an own text and with that of 2; rows without id all stay
+    rows = [(i, own[i]) for i in range(30) if i != 3] + [(3, own[1]), (5, own[5]), (6, own[1] + " a"), (8, own[2]), (None, own[1]), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    flat = minhash.near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").count().collect()
+    want = []
+    for r in flat:
+        want += [r["doc_id"]] * (1 if r["count"] > 1 else sum(i == r["doc_id"] for i, _ in rows))
+    got = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert got.count(None) == 2 and sorted(i for i in got if i is not None) == sorted(want)
+    assert 3 not in got and got.count(5) == 1
