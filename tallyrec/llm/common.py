@@ -16,6 +16,7 @@ from tallyrec.session import scratch_path
 
 
 BATCH_ROWS = 2000  # rows of an Arrow batch of texts
+BATCH_BYTES = 4_000_000  # and its size, but for a longer row
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,13 +118,15 @@ def give_back() -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` in batches of at most ``BATCH_ROWS`` rows; after a task's last row its worker gives memory back.
+    """``df.mapInArrow(run, schema)`` in batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``; after a task's last row its worker gives memory back.
 
-    Texts are long: with the default of 10,000 rows a batch of them takes tens of MB on both sides of the pipe.
+    Texts are long: with the defaults of 10,000 rows and 64 MB a batch of them takes tens of MB on both sides of the pipe.
     """
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf.set(size, conf.get(size, str(BATCH_BYTES)))  # a setting of the session stays
 
     def whole(batches):
         try:
@@ -138,8 +141,8 @@ def map_slices(df: DataFrame, make: Callable, schema: str, text: str | None = "t
                budget: int = 2_000_000, lists: bool = True) -> DataFrame:
     """``make()`` runs once per task and returns ``f(*columns) -> list of output columns``.
 
-    ``f`` gets the columns of ``df`` as Python lists (or, without ``lists``, as Arrow arrays), a bounded slice at a time,
-    so a worker never holds more than one slice beside its Arrow batch.  If ``f`` has
+    ``f`` gets the columns of ``df`` as Python lists (or, without ``lists``, as Arrow arrays, memory given back after each), a
+    bounded slice at a time, so a worker never holds more than one slice beside its Arrow batch.  If ``f`` has
     ``finish``, it gives the last rows of the task.
     """
     struct = T._parse_datatype_string(schema)
@@ -158,13 +161,15 @@ def map_slices(df: DataFrame, make: Callable, schema: str, text: str | None = "t
             f = f or make()
             for part in parts(batch, weight, budget):
                 yield rows(f(*(c.to_pylist() if lists else c for c in part.columns)))
+                if not lists:
+                    give_back()
         if hasattr(f, "finish"):
             yield rows(f.finish())
 
     return map_arrow(df, run, struct)
 
 
-def filter_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 1_000_000) -> DataFrame:
+def filter_texts(df: DataFrame, make: Callable, text: str = "text", budget: int = 500_000) -> DataFrame:
     """The rows for whose texts ``f = make()`` gives True, all columns kept; ``f`` gets a bounded slice at a time."""
     at = df.columns.index(text)
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from tallyrec.llm.common import map_slices
 
 BLANKS = " \t\n\r"
+BLOCK = 1 << 14  # chunks learned or put together at a time
 
 
 class Levels:
@@ -125,16 +126,21 @@ class Words:
 
     Blanks are dropped by this vocabulary's own pre-tokeniser and no pre-token spans
     one, so the chunks' ids one after the other are the text's.  Arrow cuts the texts of a slice, numbers their chunks and
-    looks them up among those known; Python sees a chunk once, when it is new, and numpy puts the ids together.  At
+    finds the known ones among them; Python sees a chunk once, when it is new, and numpy puts the ids together.  At
     ``limit`` known chunks those of earlier slices are forgotten.
+
+    What a slice needs for a while grows with the slice, not with what is known: the hash table is of the slice's chunks, and
+    new chunks are learned and ids put together ``BLOCK`` at a time.
     """
 
     def __init__(self, tokenizer, limit: int = 1_000_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.t, self.limit = tokenizer, limit
-        # the same merges for words that the normaliser would leave as they are and the pre-tokeniser whole
-        self.merges = Tokenizer.from_str(tokenizer.to_str())
+        # the same merges (one model in memory) for words that the normaliser would leave as they are and the pre-tokeniser whole
+        self.merges = Tokenizer(tokenizer.model)
+        for _, added in sorted(tokenizer.get_added_tokens_decoder().items()):
+            (self.merges.add_special_tokens if added.special else self.merges.add_tokens)([added])
         self.merges.normalizer, self.merges.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         self.letters = byte_letters()
         last = self.merges.model.end_of_word_suffix
@@ -200,37 +206,53 @@ class Words:
         ids[""] = b""
         return [ids[core] + ids[end] for core, end in parted]
 
+    def _places(self, chunks: pa.Array) -> np.ndarray:
+        """Places of the chunks among the known ones, -1 for new ones.
+
+        The known ones, by far the more, are looked up among the chunks: a table of theirs would be built for every slice.
+        """
+        out = np.full(len(chunks), -1, np.int32)
+        met = pc.index_in(self.known, value_set=chunks)
+        out[met.drop_null().to_numpy()] = np.flatnonzero(met.is_valid().to_numpy(zero_copy_only=False))
+        return out
+
     def _numbers(self, chunks: pa.Array) -> np.ndarray:
         """Places of the chunks among the known ones; new ones are learned."""
-        at = pc.index_in(chunks, value_set=self.known)
-        if at.null_count:
-            if len(self.known) + at.null_count > self.limit:
-                self.known = self.known[:1]
-                self.begin, self.size, self.flat = self.begin[:1], self.size[:1], self.flat[:0]
-                at = pc.index_in(chunks, value_set=self.known)
-            new = chunks.filter(pc.is_null(at))
-            ids = self._learn(new.to_pylist())
-            size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-            self.begin = np.concatenate([self.begin, (len(self.flat) + np.cumsum(size) - size).astype(np.int32)])
-            self.size = np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
-            at = at.to_numpy(zero_copy_only=False)
-            lacking = np.isnan(at)
-            at = np.where(lacking, 0, at).astype(np.int64)
-            at[lacking] = len(self.known) + np.arange(len(new))
-            self.known = pa.concat_arrays([self.known, new])
+        at = self._places(chunks)
+        new = np.flatnonzero(at < 0)
+        if len(self.known) + len(new) > self.limit:
+            self.known = self.known[:1]
+            self.begin, self.size, self.flat = self.begin[:1], self.size[:1], self.flat[:0]
+            at = self._places(chunks)
+            new = np.flatnonzero(at < 0)
+        if not len(new):
             return at
-        return at.to_numpy()
+        at[new] = len(self.known) + np.arange(len(new), dtype=np.int32)
+        fresh, sizes, flats = chunks.take(pa.array(new)), [], []
+        for i in range(0, len(fresh), BLOCK):
+            ids = self._learn(fresh.slice(i, BLOCK).to_pylist())
+            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)) // 4)
+            flats.append(np.frombuffer(b"".join(ids), "<u4"))
+        size = np.concatenate(sizes)
+        self.begin = np.concatenate([self.begin, (len(self.flat) + np.cumsum(size) - size).astype(np.int32)])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, *flats])
+        self.known = pa.concat_arrays([self.known, fresh])
+        return at
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         lists = self._chunks(texts)
         coded = lists.flatten().dictionary_encode()
         at = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
         n = self.size[at]
-        total = np.cumsum(n, dtype=np.int64)
-        ids = self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(self.begin[at] - total + n, n)].tobytes()
-        edge = (np.concatenate([[0], total])[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4).tolist()
-        return [ids[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        ids = np.empty(total[-1], "<u4")
+        for i in range(0, len(at), BLOCK):
+            to = slice(i, min(i + BLOCK, len(at)))
+            first, last = total[to.start], total[to.stop]
+            ids[first:last] = self.flat[np.arange(first, last) + np.repeat(self.begin[at[to]] - total[to], n[to])]
+        edge = total[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
 _words: dict[str, Words] = {}  # of this worker, some tens of MB: words learned for one task serve the next
@@ -279,4 +301,4 @@ def pack(docs: DataFrame, vocabulary_path: str, length: int = 2048, end_id: int
 
     return map_slices(docs.select("doc_id", "text"), make,
                       "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
-                      budget=4_000_000, lists=False)
+                      budget=1_000_000, lists=False)
